@@ -1,0 +1 @@
+"""Intentionally empty: none of the covered queries reads a stream."""
