@@ -1,8 +1,8 @@
 """Every registered query with the SQL it is checked against."""
 
-from ledgerlark.catalog import sales
+from ledgerlark.catalog import profile, sales
 
-_FAMILIES = (sales,)
+_FAMILIES = (sales, profile)
 
 
 def queries() -> dict:

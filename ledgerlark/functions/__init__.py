@@ -2,6 +2,7 @@ from ledgerlark.functions.columns import (
     MONEY,
     exact_sum,
     growth_rate,
+    half_even,
     is_one_of,
     not_one_of,
     percent_of,
@@ -14,6 +15,7 @@ __all__ = [
     "MONEY",
     "exact_sum",
     "growth_rate",
+    "half_even",
     "is_one_of",
     "not_one_of",
     "percent_of",

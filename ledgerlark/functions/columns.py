@@ -34,7 +34,17 @@ def not_one_of(column: Column | str, values: Iterable[str]) -> Column:
 def percent_of(part: Column | str, whole: Column | str, digits: int | None = 2) -> Column:
     """``part / whole * 100``, half-even rounded; null when ``whole`` is zero or null."""
     share = F.try_divide(_col(part).cast("double"), _col(whole).cast("double")) * 100
-    return share if digits is None else F.bround(share, digits)
+    return share if digits is None else half_even(share, digits)
+
+
+def half_even(column: Column | str, digits: int) -> Column:
+    """Scale, round to the nearest whole number with ties to even, scale back.
+
+    That is how array libraries round.  ``bround`` works on the shortest decimal text
+    of the number instead and differs where scaling lands exactly on a tie.
+    """
+    scale = float(10**digits)
+    return F.rint(_col(column) * scale) / scale
 
 
 def growth_rate(current: Column | str, previous: Column | str) -> Column:

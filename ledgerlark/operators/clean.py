@@ -1,18 +1,17 @@
 """Cleaning rules for sales lines, and an audit of what each rule removes.
 
-Every rule is a boolean column that is true for rows to keep and never null, so the
-cleaning run (``clean``) and the audit (``cleaning_audit``) share one definition.
+The cleaning run (``clean``) and the audit (``cleaning_audit``) share one definition
+of each rule.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions import not_one_of
 
 # The cleaning rules' word lists and patterns.
 COUNTRY_NAMES = {"EIRE": "Ireland", "RSA": "South Africa"}
-NOT_A_COUNTRY = ("European Community", "Unspecified")
 NOT_A_PRODUCT = (
     "AMAZON FEE",
     "Adjust bad debt",
@@ -25,15 +24,15 @@ NON_SALES_INVOICE = "^[A-BD-Za-bd-z]"
 HOME_COUNTRY = "United Kingdom"
 
 
-def keep_rules() -> dict[str, Column]:
-    """Row filters in the order in which they are applied."""
-    return {
-        "real country": not_one_of("Country", NOT_A_COUNTRY),
-        "positive quantity": F.coalesce(F.col("Quantity") > 0, F.lit(False)),
-        "positive price": F.coalesce(F.col("UnitPrice") > 0, F.lit(False)),
-        # A missing invoice number is kept here; it leaves when lines are grouped by it.
-        "sales invoice": ~F.coalesce(F.col("InvoiceNo").rlike(NON_SALES_INVOICE), F.lit(False)),
-    }
+# Row filters in the order in which they are applied.  Each is true or false, never
+# null: a missing country and a missing invoice number pass (the latter leaves when
+# lines are grouped by it), a missing quantity or price does not.
+KEEP_RULES = {
+    "real country": "Country IS NULL OR Country NOT IN ('European Community', 'Unspecified')",
+    "positive quantity": "coalesce(Quantity > 0, false)",
+    "positive price": "coalesce(UnitPrice > 0, false)",
+    "sales invoice": f"NOT coalesce(InvoiceNo RLIKE '{NON_SALES_INVOICE}', false)",
+}
 
 
 def normalise_countries(lines: DataFrame) -> DataFrame:
@@ -41,7 +40,7 @@ def normalise_countries(lines: DataFrame) -> DataFrame:
 
 
 def _apply(rule: str):
-    return lambda lines: lines.filter(keep_rules()[rule])
+    return lambda lines: lines.filter(KEEP_RULES[rule])
 
 
 remove_non_countries = _apply("real country")
@@ -51,7 +50,7 @@ remove_non_sales_invoices = _apply("sales invoice")
 
 
 def add_revenue(lines: DataFrame) -> DataFrame:
-    return lines.withColumn("Revenue", F.col("Quantity") * F.col("UnitPrice"))
+    return lines.selectExpr("*", "Quantity * UnitPrice AS Revenue")
 
 
 def clean(lines: DataFrame) -> DataFrame:
@@ -68,7 +67,7 @@ def clean(lines: DataFrame) -> DataFrame:
 
 def with_customer(lines: DataFrame) -> DataFrame:
     """Lines of known customers; guests leave only for the customer questions."""
-    return lines.filter(F.col("CustomerID").isNotNull())
+    return lines.filter("CustomerID IS NOT NULL")
 
 
 def remove_non_products(lines: DataFrame) -> DataFrame:
@@ -78,9 +77,7 @@ def remove_non_products(lines: DataFrame) -> DataFrame:
 
 def valid_sales(lines: DataFrame) -> DataFrame:
     """The profiling view of a sale: described, priced and with a positive quantity."""
-    return lines.filter(
-        F.col("Description").isNotNull() & (F.col("UnitPrice") > 0) & (F.col("Quantity") > 0)
-    )
+    return lines.filter("Description IS NOT NULL AND UnitPrice > 0 AND Quantity > 0")
 
 
 def cleaning_audit(lines: DataFrame) -> DataFrame:
@@ -89,15 +86,12 @@ def cleaning_audit(lines: DataFrame) -> DataFrame:
     A line is charged to the first rule it fails.  The lines collapse to (country,
     rule) counts on the map side, so what is shuffled does not grow with the table.
     """
-    rules = keep_rules()
-    names = list(rules)
-    failed = F.lit(len(names))
-    for position in reversed(range(len(names))):
-        failed = F.when(~rules[names[position]], position).otherwise(failed)
+    names = list(KEEP_RULES)
+    tests = " ".join(f"WHEN NOT ({KEEP_RULES[name]}) THEN {i}" for i, name in enumerate(names))
     counts = (
         lines.withColumn("RawCountry", F.col("Country"))
         .transform(normalise_countries)
-        .withColumn("Failed", failed)
+        .withColumn("Failed", F.expr(f"CASE {tests} ELSE {len(names)} END"))
         .groupBy("RawCountry", "Country", "Failed")
         .agg(F.count(F.lit(1)).alias("n"))
     )

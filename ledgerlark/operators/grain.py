@@ -11,11 +11,14 @@ from ledgerlark.functions import exact_sum, year_month
 from ledgerlark.operators.clean import remove_non_products, with_customer
 
 
-def product_grain(lines: DataFrame) -> DataFrame:
-    """Description, Revenue, Lines (all rows) and Frequency (rows with an invoice)."""
+def product_grain(lines: DataFrame, goods_only: bool = True) -> DataFrame:
+    """Description, Revenue, Lines (all rows) and Frequency (rows with an invoice).
+
+    Fee and accounting texts are left out unless ``goods_only`` is false.
+    """
     return (
-        remove_non_products(lines)
-        .filter(F.col("Description").isNotNull())
+        (remove_non_products(lines) if goods_only else lines)
+        .filter("Description IS NOT NULL")
         .groupBy("Description")
         .agg(
             exact_sum("Revenue").alias("Revenue"),
@@ -28,7 +31,7 @@ def product_grain(lines: DataFrame) -> DataFrame:
 def invoice_grain(lines: DataFrame) -> DataFrame:
     """InvoiceNo, OrderValue on a gross basis: cancelled originals stay in."""
     return (
-        lines.filter(F.col("InvoiceNo").isNotNull())
+        lines.filter("InvoiceNo IS NOT NULL")
         .groupBy("InvoiceNo")
         .agg(exact_sum("Revenue").alias("OrderValue"))
     )
@@ -52,7 +55,7 @@ def customer_grain(lines: DataFrame) -> DataFrame:
 def month_grain(lines: DataFrame) -> DataFrame:
     """YearMonth, Revenue, Lines and the last day loaded; only months that occur."""
     return (
-        lines.filter(F.col("InvoiceDate").isNotNull())
+        lines.filter("InvoiceDate IS NOT NULL")
         .groupBy(year_month("InvoiceDate").alias("YearMonth"))
         .agg(
             exact_sum("Revenue").alias("Revenue"),
@@ -65,7 +68,7 @@ def month_grain(lines: DataFrame) -> DataFrame:
 def customer_month_grain(lines: DataFrame) -> DataFrame:
     return (
         with_customer(lines)
-        .filter(F.col("InvoiceDate").isNotNull())
+        .filter("InvoiceDate IS NOT NULL")
         .groupBy("CustomerID", year_month("InvoiceDate").alias("YearMonth"))
         .agg(exact_sum("Revenue").alias("Revenue"))
     )

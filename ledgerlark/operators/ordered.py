@@ -152,50 +152,46 @@ def exact_quantiles(
     frame: DataFrame,
     column: str,
     probabilities: Mapping[str, float],
+    by: Sequence[str] = (),
     ranges: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation: one row, one column per name.
+    """Exact quantiles with linear interpolation, one column per name.
 
-    Values are folded to (value, copies), put in order with a running count, and the
-    two values around each position are picked.  No task holds the whole distribution.
+    One row, or one row per group of the ``by`` columns.  Values are folded to (value,
+    copies), put in order with a running count, and the two values around each
+    position are picked.  No task holds a whole distribution.
     """
+    groups = list(by)
     copies = (
         frame.filter(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("_value"))
+        .groupBy(*groups, F.col(column).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
     order = [F.asc("_value")]
-    placed = spread_in_order(copies, order, ranges=ranges)
-    rows = placed.agg(F.sum("_copies").alias("n")).scalar()
-    upto = running_over(placed, order, running={"_upto": ("sum", "_copies")})
-    at = {name: (rows - 1) * F.lit(float(p)) for name, p in probabilities.items()}
-    picked = upto.withColumns({f"_at_{name}": position for name, position in at.items()}).agg(
-        *[
-            F.min(F.when(F.col("_upto") > edge(F.col(f"_at_{name}")), F.col("_value"))).alias(
-                f"{name}_{side}"
-            )
-            for name in probabilities
-            for side, edge in (("lo", F.floor), ("hi", F.ceil))
-        ],
-        *[F.max(f"_at_{name}").alias(f"_at_{name}") for name in probabilities],
-    )
-    return picked.select(
-        *[
-            (
-                F.col(f"{name}_lo")
-                + (F.col(f"{name}_hi") - F.col(f"{name}_lo"))
-                * (F.col(f"_at_{name}") - F.floor(f"_at_{name}"))
-            )
-            .cast("double")
-            .alias(name)
-            for name in probabilities
+    placed = spread_in_order(copies, order, groups, ranges)
+    upto = running_over(placed, order, groups, running={"_upto": ("sum", "_copies")})
+    if groups:
+        counts = placed.groupBy(*groups).agg(F.sum("_copies").alias("_n"))
+        upto = upto.join(counts, groups)
+    else:
+        upto = upto.withColumn("_n", placed.agg(F.sum("_copies")).scalar())
+
+    edges, values = [], groups[:]
+    for name, p in probabilities.items():
+        at = f"(_n - 1) * {float(p)!r}D"
+        edges += [
+            F.expr(f"min(IF(_upto > floor({at}), _value, NULL))").alias(f"{name}_lo"),
+            F.expr(f"min(IF(_upto > ceil({at}), _value, NULL))").alias(f"{name}_hi"),
+            F.expr(f"max({at} - floor({at}))").alias(f"{name}_part"),
         ]
-    )
+        values.append(f"double({name}_lo + ({name}_hi - {name}_lo) * {name}_part) AS {name}")
+    picked = upto.groupBy(*groups).agg(*edges)
+    return picked.selectExpr(*values)
 
 
 def median_of(frame: DataFrame, column: str, ranges: int | None = None) -> Column:
     """Exact median of a column as a one-value column for use in another frame."""
-    return exact_quantiles(frame, column, {"median": 0.5}, ranges).scalar()
+    return exact_quantiles(frame, column, {"median": 0.5}, ranges=ranges).scalar()
 
 
 def overlapping_blocks(

@@ -183,7 +183,8 @@ def histogram_marks(frame: DataFrame, value: str) -> DataFrame:
 def box_plot(frame: DataFrame, value: str) -> DataFrame:
     """One row: quartiles of the rows up to p99, whiskers and number of outliers.
 
-    A whisker ends at the furthest value within 1.5 box lengths of the box.
+    A whisker ends at the furthest value within 1.5 box lengths of the box, and never
+    inside the box.
     """
     kept = settle(below_p99(frame, value))
     quartiles = settle(exact_quantiles(kept, value, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75}))
@@ -195,16 +196,16 @@ def box_plot(frame: DataFrame, value: str) -> DataFrame:
     )
     inside = (x >= F.col("low")) & (x <= F.col("high"))
     ends = marked.agg(
-        F.min(F.when(inside, x)).alias("WhiskerLow"),
-        F.max(F.when(inside, x)).alias("WhiskerHigh"),
+        F.min(F.when(inside, x)).alias("low_end"),
+        F.max(F.when(inside, x)).alias("high_end"),
         F.count_if(~inside).alias("Outliers"),
     )
     return ends.select(
         q1.alias("Q1"),
         quartiles.select("Median").scalar().alias("Median"),
         q3.alias("Q3"),
-        "WhiskerLow",
-        "WhiskerHigh",
+        F.least("low_end", q1).alias("WhiskerLow"),
+        F.greatest("high_end", q3).alias("WhiskerHigh"),
         "Outliers",
     )
 

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from ledgerlark.functions import MONEY, percent_of
+from ledgerlark.functions import MONEY, half_even, percent_of
 from ledgerlark.operators.grain import invoice_grain
 from ledgerlark.operators.ordered import exact_quantiles
 from ledgerlark.operators.settle import settle
@@ -49,7 +49,7 @@ def large_order_impact(
             F.lit(threshold).alias("Threshold"),
             F.col(f"n{i}").alias("OrderCount"),
             percent_of(f"n{i}", "n").alias("OrderPct"),
-            F.bround(f"r{i}", 2).alias("Revenue"),
+            half_even(f"r{i}", 2).alias("Revenue"),
             percent_of(f"r{i}", "r").alias("RevenuePct"),
         )
         for i, threshold in enumerate(thresholds)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pathlib import PurePosixPath
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerlark.sources.schema import SALES_LINES
@@ -39,18 +39,15 @@ def load_raw(spark: SparkSession, path: str) -> DataFrame:
 
 def as_sales_lines(lines: DataFrame) -> DataFrame:
     """Settle the types used inside: NaN is null, CustomerID is a whole number."""
-    price = F.col("UnitPrice").cast("double")
-    return lines.select(
-        F.col("InvoiceNo").cast("string").alias("InvoiceNo"),
-        F.col("StockCode").cast("string").alias("StockCode"),
-        F.col("Description").cast("string").alias("Description"),
-        F.col("Quantity").cast("int").alias("Quantity"),
-        F.col("InvoiceDate").cast("timestamp").alias("InvoiceDate"),
-        F.when(~F.isnan(price), price).alias("UnitPrice"),
-        F.when(~F.isnan(F.col("CustomerID").cast("double")), F.col("CustomerID"))
-        .cast("bigint")
-        .alias("CustomerID"),
-        F.col("Country").cast("string").alias("Country"),
+    return lines.selectExpr(
+        "string(InvoiceNo) AS InvoiceNo",
+        "string(StockCode) AS StockCode",
+        "string(Description) AS Description",
+        "int(Quantity) AS Quantity",
+        "timestamp(InvoiceDate) AS InvoiceDate",
+        "IF(isnan(double(UnitPrice)), NULL, double(UnitPrice)) AS UnitPrice",
+        "IF(isnan(double(CustomerID)), NULL, bigint(CustomerID)) AS CustomerID",
+        "string(Country) AS Country",
     )
 
 
