@@ -1,8 +1,8 @@
 """Every registered query with the SQL it is checked against."""
 
-from ledgerlark.catalog import profile, sales
+from ledgerlark.catalog import jobs, profile, sales
 
-_FAMILIES = (sales, profile)
+_FAMILIES = (sales, profile, jobs)
 
 
 def queries() -> dict:
