@@ -1,8 +1,8 @@
 """Every registered query with the SQL it is checked against."""
 
-from ledgerlark.catalog import jobs, profile, sales
+from ledgerlark.catalog import jobs, profile, sales, scalars
 
-_FAMILIES = (sales, profile, jobs)
+_FAMILIES = (sales, profile, jobs, scalars)
 
 
 def queries() -> dict:

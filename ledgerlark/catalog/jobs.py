@@ -366,13 +366,13 @@ def value_extremes(spark, sf_dir):
 
 def event_windows(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    runs = sequences.sliding_windows(events, "user_id", [F.asc("ts"), F.asc("event_id")], "event_type", 3)
+    runs = sequences.sliding_windows(events, "user_id", ["ts", "event_id"], "event_type", 3)
     return runs.select("user_id", "position", F.array_join("window", ",").alias("types"))
 
 
 def running_event_values(spark, sf_dir):
     events = table(spark, sf_dir, "events").selectExpr("event_id", "ts", "user_id", "1 + value / 10000 AS factor")
-    running = sequences.running_values(events, "user_id", [F.asc("ts"), F.asc("event_id")], "factor")
+    running = sequences.running_values(events, "user_id", ["ts", "event_id"], "factor")
     return running.selectExpr(
         "event_id", "user_id", "position", "running_sum", "running_max", "round(running_product, 6) AS running_product"
     )
@@ -380,7 +380,7 @@ def running_event_values(spark, sf_dir):
 
 def event_runs(spark, sf_dir):
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    return sequences.consecutive_runs(events, "user_id", [F.asc("ts"), F.asc("event_id")], "event_type")
+    return sequences.consecutive_runs(events, "user_id", ["ts", "event_id"], "event_type")
 
 
 # --- rankings, growth, pairs --------------------------------------------------------
@@ -462,15 +462,14 @@ def customers_by_balance_size(spark, sf_dir):
 
 def customers_sorted(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_mktsegment", "c_acctbal", "c_name")
-    order = [F.desc("c_acctbal"), F.asc("c_name")]
-    return sequences.numbered(customers, order, "place")
+    return sequences.numbered(customers, ["-c_acctbal", "c_name"], "place")
 
 
 def part_names_by_length(spark, sf_dir):
     parts = table(spark, sf_dir, "part").selectExpr(
         "p_partkey", "length(p_name) AS n", "reverse(split(p_name, ' ')) AS backwards"
     )
-    placed = sequences.numbered(parts, [F.asc("n"), F.asc("p_partkey")], "place")
+    placed = sequences.numbered(parts, ["n", "p_partkey"], "place")
     return placed.select("p_partkey", "place", F.array_join("backwards", " ").alias("backwards"))
 
 

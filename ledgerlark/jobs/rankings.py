@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions import growth_rate
 from ledgerlark.operators.sequences import numbered
+from ledgerlark.operators.settle import settle
 
 
 def with_roi(campaigns: DataFrame) -> DataFrame:
@@ -15,8 +16,8 @@ def with_roi(campaigns: DataFrame) -> DataFrame:
 
 def roi_ranking(campaigns: DataFrame) -> DataFrame:
     """All campaigns, best first; those without spend come last."""
-    order = [F.desc_nulls_last("roi"), F.asc("name")]
-    return numbered(with_roi(campaigns), order).select("rank", "name", "roi")
+    ranked = numbered(settle(with_roi(campaigns)), ["roi IS NULL", "-roi", "name"])
+    return ranked.select("rank", "name", "roi")
 
 
 def roi_summary(campaigns: DataFrame) -> DataFrame:
@@ -40,4 +41,4 @@ def work_queue(tickets: DataFrame, arrived: str, priority: str, cancelled: str)
     """
     oldest = tickets.agg(F.min(arrived)).scalar()
     waiting = tickets.filter(F.col(arrived) != oldest).filter(f"NOT coalesce({cancelled}, false)")
-    return numbered(waiting, [F.asc(priority), F.asc(arrived)], number="place")
+    return numbered(waiting, [priority, arrived], number="place")

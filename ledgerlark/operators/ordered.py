@@ -1,9 +1,16 @@
 """Row numbers, running totals, ranks and quantiles over a whole frame.
 
 ``Window.orderBy`` without a partition moves every row to one task, and a window per
-key does so for a hot key.  Here rows are range-partitioned on the full sort key, the
-window runs inside each range, and every range is shifted by what the ranges before
-it hold.
+key does so for a hot key.  Here the sort order is cut into ranges by a few cut points
+taken from a sample.  The window runs inside each range, and every range is shifted by
+what the ranges before it hold.  The frame is shuffled once, by range.
+
+Sort keys are SQL expressions in ascending order: ``["-Revenue", "Description"]`` is
+largest revenue first, then by name.  They must end in one that is unique (within a
+partition), so equal values can be cut apart and the order is total.
+
+The frame is read a few times (count, sample, totals, rows): pass a table or a settled
+frame, not one that is expensive to compute again.
 """
 
 from __future__ import annotations
@@ -11,12 +18,17 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegralType
+from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegralType
 
 from ledgerlark.functions import MONEY
 from ledgerlark.operators.settle import settle
 
 RANGE = "_range"
+ROWS_PER_RANGE = 200_000
+SAMPLE_PER_RANGE = 20
+MOST_RANGES = 10_000
+_STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+_JSON_TIMES = {"timestampFormat": _STAMP, "timestampNTZFormat": _STAMP}
 
 # Running aggregates: (aggregate, how the part before a range joins the part inside).
 _RUNNING = {
@@ -29,34 +41,56 @@ _RUNNING = {
 
 def spread_in_order(
     frame: DataFrame,
-    order_by: Sequence[Column],
+    order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     ranges: int | None = None,
 ) -> DataFrame:
-    """Place rows in ranges of the sort order and settle that placement.
+    """Add the number of the range of the sort order that each row falls into.
 
-    ``order_by`` must end in a column that is unique within a partition, so equal
-    values can be cut apart and the order is total.  Without ``ranges`` the session's
-    shuffle partition setting and adaptive execution decide how many there are.
+    The cut points only split the work, they never decide a result.  The driver sees
+    nothing but them: at most ``MOST_RANGES``, as one JSON text.
     """
-    keys = [F.asc(name) for name in partition_by] + list(order_by)
-    placed = (
-        frame.repartitionByRange(*keys)
-        if ranges is None
-        else frame.repartitionByRange(ranges, *keys)
+    names = [*partition_by, *order_by]
+    key = F.struct(*[F.expr(e).alias(f"k{i}") for i, e in enumerate(names)])
+    keys = frame.select(key.alias("_key"))
+    rows = keys.count()
+    if ranges is None:
+        tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranges = min(rows // ROWS_PER_RANGE, tasks, MOST_RANGES)
+    ranges = max(ranges, 2)
+    fraction = min(1.0, ranges * SAMPLE_PER_RANGE / max(rows, 1))
+    cut_points = keys.sample(fraction, seed=1).agg(
+        F.sort_array(F.collect_list("_key")).alias("seen")
+    ).select(
+        F.to_json(
+            F.expr(
+                f"array_distinct(transform(sequence(1, {ranges - 1}), "
+                f"i -> get(seen, int(floor(i * size(seen) / {ranges})))))"
+            ),
+            _JSON_TIMES,
+        )
+    )
+    cuts = F.from_json(
+        F.lit(cut_points.first()[0]), ArrayType(keys.schema["_key"].dataType), _JSON_TIMES
+    )
+    # How many cut points lie at or below the row's key, by halving steps.
+    halves = [F.lit(1 << bit) for bit in reversed(range(ranges.bit_length()))]
+    below = F.aggregate(
+        F.array(*halves),
+        F.lit(0),
+        lambda at, step: at + F.when(F.get(cuts, at + step - 1) <= key, step).otherwise(F.lit(0)),
     )
-    # The placement is kept: sampling the range bounds again could cut elsewhere.
-    return settle(placed.withColumn(RANGE, F.spark_partition_id()))
+    return frame.withColumn(RANGE, below)
 
 
 def running_over(
     placed: DataFrame,
-    order_by: Sequence[Column],
+    order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     running: Mapping[str, tuple[str, str]] | None = None,
     number: str = "row_no",
 ) -> DataFrame:
-    """Add a 1-based row number and running aggregates to a frame placed in order.
+    """Add a 1-based row number and running aggregates to a frame spread in order.
 
     ``running`` maps an output name to ``(kind, column)``, kind being ``sum``, ``max``,
     ``min`` or ``product``.  Sums of doubles are added as decimals and are exact.
@@ -92,7 +126,7 @@ def running_over(
         *[_RUNNING[kinds[n]][0](f"_add_{n}").over(earlier).alias(f"_before_{n}") for n in running],
     ).filter("_rows_before > 0")
 
-    inside = Window.partitionBy(RANGE, *parts).orderBy(*order_by)
+    inside = Window.partitionBy(RANGE, *parts).orderBy(*[F.expr(e) for e in order_by])
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     numbered = placed.select(
         "*",
@@ -120,7 +154,7 @@ def running_over(
 
 def in_order(
     frame: DataFrame,
-    order_by: Sequence[Column],
+    order_by: Sequence[str],
     partition_by: Sequence[str] = (),
     running: Mapping[str, tuple[str, str]] | None = None,
     number: str = "row_no",
@@ -137,13 +171,13 @@ def count_ranks(frame: DataFrame, count: str, rank: str = "rank", ranges: int |
     Rows with equal values share the lowest rank: 1 + the rows with a larger value.
     Rows are folded to one per distinct value first; only those are put in order.
     """
-    sizes = (
+    sizes = settle(
         frame.filter(F.col(count).isNotNull())
         .groupBy(count)
         .agg(F.count(F.lit(1)).alias("_members"))
     )
     upto = in_order(
-        sizes, [F.desc(count)], running={"_upto": ("sum", "_members")}, ranges=ranges
+        sizes, [f"-{count}"], running={"_upto": ("sum", "_members")}, ranges=ranges
     )
     return upto.select(count, (F.col("_upto") - F.col("_members") + 1).alias(rank))
 
@@ -162,19 +196,19 @@ def exact_quantiles(
     position are picked.  No task holds a whole distribution.
     """
     groups = list(by)
-    copies = (
+    copies = settle(
         frame.filter(F.col(column).isNotNull())
         .groupBy(*groups, F.col(column).alias("_value"))
         .agg(F.count(F.lit(1)).alias("_copies"))
     )
-    order = [F.asc("_value")]
+    order = ["_value"]
     placed = spread_in_order(copies, order, groups, ranges)
     upto = running_over(placed, order, groups, running={"_upto": ("sum", "_copies")})
     if groups:
-        counts = placed.groupBy(*groups).agg(F.sum("_copies").alias("_n"))
+        counts = copies.groupBy(*groups).agg(F.sum("_copies").alias("_n"))
         upto = upto.join(counts, groups)
     else:
-        upto = upto.withColumn("_n", placed.agg(F.sum("_copies")).scalar())
+        upto = upto.withColumn("_n", copies.agg(F.sum("_copies")).scalar())
 
     edges, values = [], groups[:]
     for name, p in probabilities.items():

@@ -8,15 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerlark.operators.ordered import in_order, overlapping_blocks
+from ledgerlark.operators.settle import settle
 
 
 def sliding_windows(
     frame: DataFrame,
     key: str,
-    order_by: Sequence[Column],
+    order_by: Sequence[str],
     value: str,
     length: int,
     ranges: int | None = None,
@@ -36,7 +37,7 @@ def sliding_windows(
 
 
 def running_values(
-    frame: DataFrame, key: str, order_by: Sequence[Column], value: str, ranges: int | None = None
+    frame: DataFrame, key: str, order_by: Sequence[str], value: str, ranges: int | None = None
 ) -> DataFrame:
     """Running sum, maximum and product of a column per key."""
     return in_order(
@@ -54,7 +55,7 @@ def running_values(
 
 
 def consecutive_runs(
-    frame: DataFrame, key: str, order_by: Sequence[Column], value: str, ranges: int | None = None
+    frame: DataFrame, key: str, order_by: Sequence[str], value: str, ranges: int | None = None
 ) -> DataFrame:
     """Adjacent equal values per key as one row: value, length, first position.
 
@@ -62,9 +63,8 @@ def consecutive_runs(
     difference names the run, and runs are then counted like any other group.
     """
     numbered = in_order(frame, order_by, [key], number="position", ranges=ranges)
-    inner = in_order(
-        numbered, [F.asc("position")], [key, value], number="_of_value", ranges=ranges
-    )
+    numbered = settle(numbered.select(key, value, "position"))
+    inner = in_order(numbered, ["position"], [key, value], number="_of_value", ranges=ranges)
     return (
         inner.groupBy(key, value, (F.col("position") - F.col("_of_value")).alias("_run"))
         .agg(F.min("position").alias("first_position"), F.count(F.lit(1)).alias("length"))
@@ -86,7 +86,7 @@ def most_common(frame: DataFrame, value: str, position: str, top_n: int) -> Data
 
 
 def numbered(
-    frame: DataFrame, order_by: Sequence[Column], number: str = "rank", ranges: int | None = None
+    frame: DataFrame, order_by: Sequence[str], number: str = "rank", ranges: int | None = None
 ) -> DataFrame:
     """1-based numbers in the given order."""
     return in_order(frame, order_by, number=number, ranges=ranges)
@@ -97,7 +97,7 @@ def shuffled(frame: DataFrame, key: str, seed: int, ranges: int | None = None) -
     ticket = F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
     drawn = frame.withColumn("_ticket", ticket)
     return in_order(
-        drawn, [F.asc("_ticket"), F.asc(key)], number="position", ranges=ranges
+        drawn, ["_ticket", key], number="position", ranges=ranges
     ).drop("_ticket")
 
 
@@ -113,8 +113,8 @@ def grouped_members(
     A key with more than ``page_rows`` members continues on further pages, so all
     members are kept and no list outgrows a task.
     """
-    members = frame.select(key, member).filter(F.col(member).isNotNull()).distinct()
-    placed = in_order(members, [F.asc(member)], [key], number="_no", ranges=ranges)
+    members = settle(frame.select(key, member).filter(F.col(member).isNotNull()).distinct())
+    placed = in_order(members, [member], [key], number="_no", ranges=ranges)
     page = F.floor((F.col("_no") - 1) / page_rows).cast("int")
     return placed.groupBy(key, page.alias("page")).agg(
         F.sort_array(F.collect_list(member)).alias("members")

@@ -41,7 +41,7 @@ def customer_pareto(customers: DataFrame) -> DataFrame:
     n = customers.agg(F.count(F.lit(1)).cast("bigint")).scalar()
     ranked = in_order(
         customers.select("CustomerID", "TotalRevenue"),
-        [F.desc("TotalRevenue"), F.asc("CustomerID")],
+        ["-TotalRevenue", "CustomerID"],
         number="customer_rank",
     )
     cut = F.greatest(F.lit(1), F.floor(n * F.lit(0.2)).cast("bigint"))

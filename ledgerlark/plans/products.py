@@ -48,7 +48,7 @@ def pareto_curve(products: DataFrame, ranges: int | None = None) -> DataFrame:
     total = products.agg(exact_sum("Revenue")).scalar()
     ordered = in_order(
         products.select("Description", "Revenue"),
-        [F.desc("Revenue"), F.asc("Description")],
+        ["-Revenue", "Description"],
         running={"cumulative_revenue": ("sum", "Revenue")},
         number="product_rank",
         ranges=ranges,
