@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerlark.catalog.sql import money, query
 from ledgerlark.operators import clean as rules, profile
-from ledgerlark.operators.grain import customer_grain, invoice_grain, product_grain
+from ledgerlark.operators.grain import customer_grain, invoice_grain, product_grain, visit_grain
 from ledgerlark.operators.settle import settle
 from ledgerlark.plans import charts, months, products as q3
 from ledgerlark.sources import sales_lines
@@ -208,7 +208,7 @@ def order_value_summary(spark, sf_dir):
 
 
 def customer_summary(spark, sf_dir):
-    customers = customer_grain(rules.clean(sales_lines(spark, sf_dir)))
+    customers = customer_grain(visit_grain(rules.clean(sales_lines(spark, sf_dir))))
     return _description(profile.describe_numbers(customers, ["TotalRevenue", "OrderCount"]))
 
 

@@ -8,7 +8,7 @@ from ledgerlark.catalog.sql import money, query
 from ledgerlark.functions import exact_sum
 from ledgerlark.operators import clean as rules
 from ledgerlark.plans import charts, customers as q5, markets, months, orders as q4, products as q3
-from ledgerlark.operators.grain import customer_grain
+from ledgerlark.operators.grain import customer_grain, visit_grain
 from ledgerlark.sources import sales_lines
 
 # The order sizes of the tables at hand; the report's own sizes are the default.
@@ -32,7 +32,7 @@ def _invoices(spark, sf_dir) -> DataFrame:
 
 
 def _customers(spark, sf_dir) -> DataFrame:
-    return q5.customers_of(_clean(spark, sf_dir))
+    return q5.customers_of(visit_grain(_clean(spark, sf_dir)))
 
 
 def _rounded(frame: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
@@ -190,7 +190,7 @@ def order_value_percentiles(spark, sf_dir):
 
 
 def top_customers(spark, sf_dir):
-    return q5.customer_value(customer_grain(_clean(spark, sf_dir)))
+    return q5.customer_value(customer_grain(visit_grain(_clean(spark, sf_dir))))
 
 
 def customer_value_by_join(spark, sf_dir):
@@ -209,7 +209,7 @@ def customer_value_by_join(spark, sf_dir):
 
 
 def customer_profile(spark, sf_dir):
-    return customer_grain(_clean(spark, sf_dir))
+    return customer_grain(visit_grain(_clean(spark, sf_dir)))
 
 
 def vip_customers(spark, sf_dir):
@@ -222,32 +222,32 @@ def customer_pareto(spark, sf_dir):
 
 def vip_lines(spark, sf_dir):
     lines = _clean(spark, sf_dir)
-    return q5.lines_of_vips(lines, q5.vip_ids(q5.customers_of(lines))).select(
+    return q5.lines_of_vips(lines, q5.vip_ids(q5.customers_of(visit_grain(lines)))).select(
         "CustomerID", "InvoiceNo", "StockCode", "Revenue"
     )
 
 
 def non_vip_lines(spark, sf_dir):
     lines = _clean(spark, sf_dir)
-    return q5.lines_of_others(lines, q5.vip_ids(q5.customers_of(lines))).select(
+    return q5.lines_of_others(lines, q5.vip_ids(q5.customers_of(visit_grain(lines)))).select(
         "CustomerID", "InvoiceNo", "StockCode", "Revenue"
     )
 
 
 def vip_monthly_revenue(spark, sf_dir):
-    lines = _clean(spark, sf_dir)
-    return q5.vip_months(lines, q5.customers_of(lines))
+    visits = q5.visits_of(_clean(spark, sf_dir))
+    return q5.vip_months(visits, q5.customers_of(visits))
 
 
 def vip_season(spark, sf_dir):
-    lines = _clean(spark, sf_dir)
-    season = q5.vip_season(lines, q5.customers_of(lines))
+    visits = q5.visits_of(_clean(spark, sf_dir))
+    season = q5.vip_season(visits, q5.customers_of(visits))
     return _rounded(season, "vip_norm", "non_vip_norm")
 
 
 def vip_season_against_everyone(spark, sf_dir):
-    lines = _clean(spark, sf_dir)
-    season = q5.vip_season(lines, q5.customers_of(lines), against="everyone")
+    visits = q5.visits_of(_clean(spark, sf_dir))
+    season = q5.vip_season(visits, q5.customers_of(visits), against="everyone")
     return _rounded(season, "vip_norm", "everyone_norm")
 
 
@@ -275,7 +275,7 @@ def chart_top_products(spark, sf_dir):
 
 
 def chart_top_customers(spark, sf_dir):
-    return charts.top_customer_bars(q5.customer_value(customer_grain(_clean(spark, sf_dir))))
+    return charts.top_customer_bars(q5.customer_value(customer_grain(visit_grain(_clean(spark, sf_dir)))))
 
 
 def chart_product_segments(spark, sf_dir):

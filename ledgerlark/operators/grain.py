@@ -37,18 +37,23 @@ def invoice_grain(lines: DataFrame) -> DataFrame:
     )
 
 
-def customer_grain(lines: DataFrame) -> DataFrame:
-    """CustomerID, TotalRevenue, OrderCount.
+def visit_grain(lines: DataFrame) -> DataFrame:
+    """CustomerID, InvoiceNo, YearMonth, Revenue of known customers.
 
-    Lines are folded per (customer, invoice) first: that spreads a customer with very
-    many lines over many tasks and turns the distinct count into a plain one.
+    Folding per invoice first spreads a customer with very many lines over many tasks.
     """
     return (
         with_customer(lines)
-        .groupBy("CustomerID", "InvoiceNo")
-        .agg(exact_sum("Revenue").alias("Spent"))
-        .groupBy("CustomerID")
-        .agg(exact_sum("Spent").alias("TotalRevenue"), F.count("InvoiceNo").alias("OrderCount"))
+        .groupBy("CustomerID", "InvoiceNo", year_month("InvoiceDate").alias("YearMonth"))
+        .agg(exact_sum("Revenue").alias("Revenue"))
+    )
+
+
+def customer_grain(visits: DataFrame) -> DataFrame:
+    """CustomerID, TotalRevenue, OrderCount (different invoices)."""
+    return visits.groupBy("CustomerID").agg(
+        exact_sum("Revenue").alias("TotalRevenue"),
+        F.count_distinct("InvoiceNo").alias("OrderCount"),
     )
 
 
@@ -63,12 +68,3 @@ def month_grain(lines: DataFrame) -> DataFrame:
             F.max(F.col("InvoiceDate").cast("date")).alias("LastDay"),
         )
     )
-
-
-def customer_month_grain(lines: DataFrame) -> DataFrame:
-    return (
-        with_customer(lines)
-        .filter("InvoiceDate IS NOT NULL")
-        .groupBy("CustomerID", year_month("InvoiceDate").alias("YearMonth"))
-        .agg(exact_sum("Revenue").alias("Revenue"))
-    )

@@ -182,31 +182,31 @@ def count_ranks(frame: DataFrame, count: str, rank: str = "rank", ranges: int |
     return upto.select(count, (F.col("_upto") - F.col("_members") + 1).alias(rank))
 
 
-def exact_quantiles(
-    frame: DataFrame,
-    column: str,
+def folded_values(frame: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
+    """Distinct non-null values (per group) with their number of copies, settled."""
+    return settle(
+        frame.filter(F.col(column).isNotNull())
+        .groupBy(*by, F.col(column).alias("_value"))
+        .agg(F.count(F.lit(1)).alias("_copies"))
+    )
+
+
+def quantiles_of_folded(
+    copies: DataFrame,
     probabilities: Mapping[str, float],
     by: Sequence[str] = (),
     ranges: int | None = None,
 ) -> DataFrame:
-    """Exact quantiles with linear interpolation, one column per name.
+    """Exact quantiles of :func:`folded_values`.
 
-    One row, or one row per group of the ``by`` columns.  Values are folded to (value,
-    copies), put in order with a running count, and the two values around each
-    position are picked.  No task holds a whole distribution.
+    The values are put in order with a running count of copies, and the two values
+    around each position are picked.  No task holds a whole distribution.
     """
-    groups = list(by)
-    copies = settle(
-        frame.filter(F.col(column).isNotNull())
-        .groupBy(*groups, F.col(column).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_copies"))
-    )
-    order = ["_value"]
+    groups, order = list(by), ["_value"]
     placed = spread_in_order(copies, order, groups, ranges)
     upto = running_over(placed, order, groups, running={"_upto": ("sum", "_copies")})
     if groups:
-        counts = copies.groupBy(*groups).agg(F.sum("_copies").alias("_n"))
-        upto = upto.join(counts, groups)
+        upto = upto.join(copies.groupBy(*groups).agg(F.sum("_copies").alias("_n")), groups)
     else:
         upto = upto.withColumn("_n", copies.agg(F.sum("_copies")).scalar())
 
@@ -219,13 +219,39 @@ def exact_quantiles(
             F.expr(f"max({at} - floor({at}))").alias(f"{name}_part"),
         ]
         values.append(f"double({name}_lo + ({name}_hi - {name}_lo) * {name}_part) AS {name}")
-    picked = upto.groupBy(*groups).agg(*edges)
-    return picked.selectExpr(*values)
+    return upto.groupBy(*groups).agg(*edges).selectExpr(*values)
 
 
-def median_of(frame: DataFrame, column: str, ranges: int | None = None) -> Column:
-    """Exact median of a column as a one-value column for use in another frame."""
-    return exact_quantiles(frame, column, {"median": 0.5}, ranges=ranges).scalar()
+def exact_quantiles(
+    frame: DataFrame,
+    column: str,
+    probabilities: Mapping[str, float],
+    by: Sequence[str] = (),
+    ranges: int | None = None,
+) -> DataFrame:
+    """Exact quantiles with linear interpolation, one column per name.
+
+    One row, or one row per group of the ``by`` columns.
+    """
+    return quantiles_of_folded(folded_values(frame, column, by), probabilities, by, ranges)
+
+
+def long_form(frame: DataFrame, columns: Sequence[str], as_type: str = "double") -> DataFrame:
+    """One row (Column, Value) per listed column and non-null value."""
+    pairs = ", ".join(f"'{c}', {as_type}(`{c}`)" for c in columns)
+    return frame.selectExpr(f"stack({len(columns)}, {pairs}) AS (Column, Value)").filter(
+        "Value IS NOT NULL"
+    )
+
+
+def medians_of(frame: DataFrame, *columns: str, ranges: int | None = None) -> list[Column]:
+    """Exact medians of columns, found together, as one-value columns."""
+    found = settle(
+        exact_quantiles(
+            long_form(frame, columns), "Value", {"median": 0.5}, by=["Column"], ranges=ranges
+        )
+    )
+    return [found.filter(F.col("Column") == c).select("median").scalar() for c in columns]
 
 
 def overlapping_blocks(

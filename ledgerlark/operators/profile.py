@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from ledgerlark.functions import MONEY, percent_of
-from ledgerlark.operators.ordered import exact_quantiles
+from ledgerlark.operators.ordered import folded_values, long_form, quantiles_of_folded
 from ledgerlark.operators.settle import settle
 
 CANCELLED = "coalesce(startswith(InvoiceNo, 'C'), false)"
@@ -22,14 +22,6 @@ def text_columns(frame: DataFrame) -> list[str]:
     return [f.name for f in frame.schema.fields if isinstance(f.dataType, StringType)]
 
 
-def _long(frame: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
-    """One row per column and non-null value."""
-    pairs = ", ".join(f"'{c}', {as_type}(`{c}`)" for c in columns)
-    return frame.selectExpr(f"stack({len(columns)}, {pairs}) AS (Column, Value)").filter(
-        "Value IS NOT NULL"
-    )
-
-
 def null_profile(frame: DataFrame) -> DataFrame:
     """Missing values per column, counted for all columns in one pass."""
     counts = frame.agg(
@@ -43,25 +35,44 @@ def null_profile(frame: DataFrame) -> DataFrame:
 
 
 def describe_numbers(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, mean, sample deviation, min, exact quartiles and max, a row per column."""
-    long = _long(frame, list(columns or numeric_columns(frame)), "double")
-    moments = long.groupBy("Column").agg(
-        F.count(F.lit(1)).alias("count"),
-        F.sum(F.col("Value").cast(MONEY)).cast("double").alias("_sum"),
-        F.stddev_samp("Value").alias("std"),
-        F.min("Value").alias("min"),
-        F.max("Value").alias("max"),
+    """count, mean, sample deviation, min, exact quartiles and max, a row per column.
+
+    The frame is read once and folded to distinct values; the rest works on those.
+    """
+    long = long_form(frame, list(columns or numeric_columns(frame)))
+    copies = folded_values(long, "Value", by=["Column"])
+    totals = copies.groupBy("Column").agg(
+        F.sum("_copies").alias("count"),
+        F.sum((F.col("_value") * F.col("_copies")).cast(MONEY)).cast("double").alias("_sum"),
+        F.min("_value").alias("min"),
+        F.max("_value").alias("max"),
+    )
+    means = totals.selectExpr("*", "_sum / count AS mean")
+    spread = (
+        copies.join(means.select("Column", "mean"), "Column")
+        .groupBy("Column")
+        .agg(F.expr("sum(_copies * (_value - mean) * (_value - mean))").alias("_squares"))
+    )
+    quartiles = quantiles_of_folded(
+        copies, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["Column"]
     )
-    quartiles = exact_quantiles(long, "Value", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["Column"])
-    return moments.join(quartiles, "Column").selectExpr(
-        "Column", "count", "_sum / count AS mean", "std", "min", "p25", "p50", "p75", "max"
+    return means.join(spread, "Column").join(quartiles, "Column").selectExpr(
+        "Column",
+        "count",
+        "mean",
+        "sqrt(try_divide(_squares, double(count - 1))) AS std",
+        "min",
+        "p25",
+        "p50",
+        "p75",
+        "max",
     )
 
 
 def describe_texts(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, distinct values, most frequent value and its count, a row per column."""
     copies = (
-        _long(frame, list(columns or text_columns(frame)), "string")
+        long_form(frame, list(columns or text_columns(frame)), "string")
         .groupBy("Column", "Value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -96,7 +107,7 @@ def top_values(frame: DataFrame, column: str, top_n: int) -> DataFrame:
 def distinct_counts(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct non-null values per column; folded by value, so no set is held whole."""
     return (
-        _long(frame, columns, "string")
+        long_form(frame, columns, "string")
         .distinct()
         .groupBy("Column")
         .agg(F.count(F.lit(1)).alias("DistinctValues"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlark.functions import exact_sum, percent_of
-from ledgerlark.operators.ordered import exact_quantiles, median_of
+from ledgerlark.operators.ordered import exact_quantiles, medians_of
 from ledgerlark.operators.settle import settle
 from ledgerlark.plans.products import pareto_curve, pareto_summary
 
@@ -71,8 +71,8 @@ def _quadrant(high_revenue: Column, often: Column, names: dict) -> Column:
 
 def _quadrants(frame, key, revenue, frequency, names, top_n):
     """High means strictly above the median, on both axes."""
-    high = F.col(revenue) > median_of(frame, revenue)
-    often = F.col(frequency) > median_of(frame, frequency)
+    middle_revenue, middle_frequency = medians_of(frame, revenue, frequency)
+    high, often = F.col(revenue) > middle_revenue, F.col(frequency) > middle_frequency
     top = frame.orderBy(F.desc(revenue), key).limit(top_n).select(key, F.lit(True).alias("_top"))
     return (
         frame.join(top, key, "left")
@@ -114,10 +114,10 @@ def customer_segments(customers: DataFrame, top_n: int = 10) -> DataFrame:
 
 def leading_products(products: DataFrame, top_n: int = 5) -> DataFrame:
     """Top products among those at or above the median on both axes."""
+    middle_revenue, middle_frequency = medians_of(products, "Revenue", "Frequency")
     return (
         products.filter(
-            (F.col("Frequency") >= median_of(products, "Frequency"))
-            & (F.col("Revenue") >= median_of(products, "Revenue"))
+            (F.col("Frequency") >= middle_frequency) & (F.col("Revenue") >= middle_revenue)
         )
         .orderBy(F.desc("Revenue"), "Description")
         .limit(top_n)
@@ -164,18 +164,19 @@ def histogram(frame: DataFrame, value: str, bins: int = 60) -> DataFrame:
 
 def histogram_marks(frame: DataFrame, value: str) -> DataFrame:
     """One row: the p99 cut, and count, median and mean of the rows drawn."""
-    kept = settle(below_p99(frame, value))
-    p99 = exact_quantiles(frame, value, {"p99": 0.99}).scalar()
+    p99 = settle(exact_quantiles(frame, value, {"p99": 0.99})).scalar()
+    kept = frame.filter(F.col(value) <= p99)
     drawn = kept.agg(
         F.count(F.lit(1)).alias("Drawn"),
         F.try_divide(exact_sum(value), F.count(F.lit(1))).alias("Mean"),
     )
     total = frame.agg(F.count(F.lit(1))).scalar()
+    (median,) = medians_of(kept, value)
     return drawn.select(
         p99.alias("P99"),
         "Drawn",
         (total - F.col("Drawn")).alias("LeftOut"),
-        median_of(kept, value).alias("Median"),
+        median.alias("Median"),
         "Mean",
     )
 

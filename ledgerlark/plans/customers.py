@@ -1,18 +1,23 @@
-"""Question 5: customer value.  Input: the customer grain, settled."""
+"""Question 5: customer value.  Input: visits and the customer grain, settled."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions import MONEY, exact_sum, percent_of
-from ledgerlark.operators.grain import customer_grain, customer_month_grain
-from ledgerlark.operators.ordered import in_order, median_of
+from ledgerlark.operators.grain import customer_grain, visit_grain
+from ledgerlark.operators.ordered import in_order, medians_of
 from ledgerlark.operators.settle import settle
 
 
-def customers_of(lines: DataFrame) -> DataFrame:
+def visits_of(lines: DataFrame) -> DataFrame:
+    """Revenue per customer, invoice and month: what all customer questions start from."""
+    return settle(visit_grain(lines))
+
+
+def customers_of(visits: DataFrame) -> DataFrame:
     """The customer profile: CustomerID, TotalRevenue, OrderCount."""
-    return settle(customer_grain(lines))
+    return settle(customer_grain(visits))
 
 
 def customer_value(customers: DataFrame, top_n: int = 20) -> DataFrame:
@@ -25,10 +30,10 @@ def customer_value(customers: DataFrame, top_n: int = 20) -> DataFrame:
 
 def flag_vip(customers: DataFrame) -> DataFrame:
     """VIPs lie strictly above the median in both revenue and orders."""
+    middle_revenue, middle_orders = medians_of(customers, "TotalRevenue", "OrderCount")
     return customers.withColumn(
         "is_vip",
-        (F.col("TotalRevenue") > median_of(customers, "TotalRevenue"))
-        & (F.col("OrderCount") > median_of(customers, "OrderCount")),
+        (F.col("TotalRevenue") > middle_revenue) & (F.col("OrderCount") > middle_orders),
     )
 
 
@@ -66,16 +71,18 @@ def lines_of_others(lines: DataFrame, vips: DataFrame) -> DataFrame:
     return lines.filter(F.col("CustomerID").isNotNull()).join(vips, "CustomerID", "left_anti")
 
 
-def vip_months(lines: DataFrame, customers: DataFrame) -> DataFrame:
+def vip_months(visits: DataFrame, customers: DataFrame) -> DataFrame:
     """Monthly revenue of VIPs, of the others and of all; null where a series has none.
 
-    Lines are folded per (customer, month) before the VIP flag is joined, so the join
+    Visits are folded per (customer, month) before the VIP flag is joined, so the join
     carries at most one row per customer and month.
     """
     flags = flag_vip(customers).select("CustomerID", "is_vip")
     vip, value = F.col("is_vip"), F.col("Revenue")
     return (
-        customer_month_grain(lines)
+        visits.filter("YearMonth IS NOT NULL")
+        .groupBy("CustomerID", "YearMonth")
+        .agg(exact_sum("Revenue").alias("Revenue"))
         .join(flags, "CustomerID")
         .groupBy("YearMonth")
         .agg(
@@ -100,9 +107,9 @@ def normalised(months: DataFrame, series: list[str]) -> DataFrame:
     return scaled
 
 
-def vip_season(lines: DataFrame, customers: DataFrame, against: str = "non_vip") -> DataFrame:
+def vip_season(visits: DataFrame, customers: DataFrame, against: str = "non_vip") -> DataFrame:
     """VIPs against the others (or ``everyone``) by month, each series scaled to 0..100."""
-    months = settle(vip_months(lines, customers))
+    months = settle(vip_months(visits, customers))
     return (
         normalised(months, ["vip", against])
         .select("YearMonth", "vip_norm", f"{against}_norm")
