@@ -53,20 +53,20 @@ _SAME_TYPE = {
 }
 
 
-def compare(spark, con, sf_dir: str, name: str) -> list[str]:
-    """Differences between the Spark result and the SQL result; empty when equal."""
+def compare(spark, con, sf_dir: str, name: str):
+    """The frame, and how its rows differ from the SQL result (empty when equal)."""
     frame = registered.queries()[name](spark, sf_dir)
     got = [tuple(row) for row in frame.collect()]
     sql = registered.oracle_sql().get(name)
     if sql is None:
-        return []
+        return frame, []
     cursor = con.execute(sql)
     columns = [d[0] for d in cursor.description]
     types = {d[0]: str(d[1]) for d in cursor.description}
     want = cursor.fetchall()
     problems = []
     if sorted(columns) != sorted(frame.columns):
-        return [f"columns {sorted(frame.columns)} != {sorted(columns)}"]
+        return frame, [f"columns {sorted(frame.columns)} != {sorted(columns)}"]
     for column, spark_type in frame.dtypes:
         if _SAME_TYPE.get(spark_type, types[column]) != types[column]:
             problems.append(f"type of {column}: {spark_type} != {types[column]}")
@@ -77,7 +77,7 @@ def compare(spark, con, sf_dir: str, name: str) -> list[str]:
         only_left = [r for r in left if r not in set(right)][:3]
         only_right = [r for r in right if r not in set(left)][:3]
         problems.append(f"values: spark {only_left} sql {only_right}")
-    return problems
+    return frame, problems
 
 
 def main(argv: list[str]) -> int:
@@ -96,7 +96,7 @@ def main(argv: list[str]) -> int:
             continue
         start = time.time()
         try:
-            problems = compare(spark, con, sf_dir, name)
+            _, problems = compare(spark, con, sf_dir, name)
         except Exception as error:  # report and go on with the next query
             problems = [f"{type(error).__name__}: {str(error)[:600]}"]
         bad += bool(problems)

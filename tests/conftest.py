@@ -17,6 +17,7 @@ def spark():
         8,
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
+        spark__sql__debug__maxToStringFields="2000",
         spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
