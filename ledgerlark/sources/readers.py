@@ -44,7 +44,7 @@ def as_sales_lines(lines: DataFrame) -> DataFrame:
         "string(StockCode) AS StockCode",
         "string(Description) AS Description",
         "int(Quantity) AS Quantity",
-        "timestamp(InvoiceDate) AS InvoiceDate",
+        "CAST(InvoiceDate AS timestamp_ntz) AS InvoiceDate",
         "IF(isnan(double(UnitPrice)), NULL, double(UnitPrice)) AS UnitPrice",
         "IF(isnan(double(CustomerID)), NULL, bigint(CustomerID)) AS CustomerID",
         "string(Country) AS Country",

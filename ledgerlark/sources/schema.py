@@ -1,4 +1,7 @@
-"""The one fact table: a row is one product line on one invoice."""
+"""The one fact table: a row is one product line on one invoice.
+
+Invoice times are local wall-clock times, so they carry no time zone.
+"""
 
 from pyspark.sql.types import (
     DoubleType,
@@ -6,7 +9,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
-    TimestampType,
+    TimestampNTZType,
 )
 
 SALES_LINES = StructType(
@@ -15,7 +18,7 @@ SALES_LINES = StructType(
         StructField("StockCode", StringType(), True),
         StructField("Description", StringType(), True),
         StructField("Quantity", IntegerType(), True),
-        StructField("InvoiceDate", TimestampType(), True),
+        StructField("InvoiceDate", TimestampNTZType(), True),
         StructField("UnitPrice", DoubleType(), True),
         StructField("CustomerID", DoubleType(), True),
         StructField("Country", StringType(), True),

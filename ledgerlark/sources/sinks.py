@@ -28,7 +28,7 @@ def write_csv(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("header", True)
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
-        .option("timestampFormat", "yyyy-MM-dd HH:mm:ss")
+        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
         .csv(path)
     )
 
