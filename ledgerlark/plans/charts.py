@@ -37,11 +37,10 @@ def country_bars(country_revenue: DataFrame) -> DataFrame:
 
 def pareto_plot(products: DataFrame) -> DataFrame:
     """The leading part of the Pareto curve that is drawn."""
-    shown = pareto_summary(products).select("PlottedProducts").scalar()
-    return (
-        pareto_curve(products)
-        .filter(F.col("product_rank") <= shown)
-        .select("Description", "Revenue", "cumulative_pct", "product_rank")
+    curve = settle(pareto_curve(products))
+    shown = pareto_summary(products, curve=curve).select("PlottedProducts").scalar()
+    return curve.filter(F.col("product_rank") <= shown).select(
+        "Description", "Revenue", "cumulative_pct", "product_rank"
     )
 
 
@@ -125,10 +124,13 @@ def leading_products(products: DataFrame, top_n: int = 5) -> DataFrame:
     )
 
 
+def p99_of(frame: DataFrame, value: str) -> Column:
+    return settle(exact_quantiles(frame, value, {"p99": 0.99})).scalar()
+
+
 def below_p99(frame: DataFrame, value: str) -> DataFrame:
     """Rows up to the 99th percentile; the rest is left out of the picture only."""
-    p99 = exact_quantiles(frame, value, {"p99": 0.99}).scalar()
-    return frame.filter(F.col(value) <= p99)
+    return frame.filter(F.col(value) <= p99_of(frame, value))
 
 
 def histogram(frame: DataFrame, value: str, bins: int = 60) -> DataFrame:
@@ -164,7 +166,7 @@ def histogram(frame: DataFrame, value: str, bins: int = 60) -> DataFrame:
 
 def histogram_marks(frame: DataFrame, value: str) -> DataFrame:
     """One row: the p99 cut, and count, median and mean of the rows drawn."""
-    p99 = settle(exact_quantiles(frame, value, {"p99": 0.99})).scalar()
+    p99 = p99_of(frame, value)
     kept = frame.filter(F.col(value) <= p99)
     drawn = kept.agg(
         F.count(F.lit(1)).alias("Drawn"),
@@ -187,7 +189,7 @@ def box_plot(frame: DataFrame, value: str) -> DataFrame:
     A whisker ends at the furthest value within 1.5 box lengths of the box, and never
     inside the box.
     """
-    kept = settle(below_p99(frame, value))
+    kept = below_p99(frame, value)
     quartiles = settle(exact_quantiles(kept, value, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75}))
     q1, q3 = quartiles.select("Q1").scalar(), quartiles.select("Q3").scalar()
     reach = (q3 - q1) * 1.5
@@ -213,7 +215,7 @@ def box_plot(frame: DataFrame, value: str) -> DataFrame:
 
 def box_plot_outliers(frame: DataFrame, key: str, value: str) -> DataFrame:
     """The rows drawn as single points."""
-    kept = settle(below_p99(frame, value))
+    kept = below_p99(frame, value)
     quartiles = settle(exact_quantiles(kept, value, {"Q1": 0.25, "Q3": 0.75}))
     q1, q3 = quartiles.select("Q1").scalar(), quartiles.select("Q3").scalar()
     reach = (q3 - q1) * 1.5

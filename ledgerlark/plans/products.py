@@ -83,15 +83,18 @@ def suspicious_names(products: DataFrame) -> DataFrame:
     return top_fifth(products).filter(F.col("Description").rlike(pattern))
 
 
-def pareto_summary(products: DataFrame, plot_margin: float = 1.2) -> DataFrame:
+def pareto_summary(
+    products: DataFrame, plot_margin: float = 1.2, curve: DataFrame | None = None
+) -> DataFrame:
     """The 80/20 check in one row, with how many products the curve shows.
 
     With fewer than five products the top fifth is one product.
     """
+    curve = pareto_curve(products) if curve is None else curve
     n = products.agg(F.count(F.lit(1)).cast("bigint")).scalar()
     cut = F.greatest(F.lit(1), fifth_of(n))
     rank, reached = F.col("product_rank"), F.col("cumulative_pct")
-    marks = pareto_curve(products).select("product_rank", "cumulative_pct", n.alias("n"), cut.alias("cut")).agg(
+    marks = curve.select("product_rank", "cumulative_pct", n.alias("n"), cut.alias("cut")).agg(
         F.max("n").alias("TotalProducts"),
         F.max("cut").alias("TopFifthCount"),
         F.max(F.when(rank == F.col("cut"), reached)).alias("TopFifthShare_pct"),
