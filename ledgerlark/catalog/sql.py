@@ -10,12 +10,8 @@ def money(expression: str) -> str:
     return f"CAST(sum(CAST({expression} AS {MONEY})) AS DOUBLE)"
 
 
-def quantile(expression: str, p: float) -> str:
-    return f"round(quantile_cont({expression}, {p}), 6)"
-
-
 NOT_A_PRODUCT = (
-    "'AMAZON FEE','Adjust bad debt','CARRIAGE','DOTCOM POSTAGE','Manual','POSTAGE'"
+    "'DOTCOM POSTAGE', 'POSTAGE', 'CARRIAGE', 'Manual', 'AMAZON FEE', 'Adjust bad debt'"
 )
 
 # name: (CTEs it reads, body)

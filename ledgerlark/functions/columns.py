@@ -23,7 +23,7 @@ def exact_sum(column: Column | str) -> Column:
 
 def is_one_of(column: Column | str, values: Iterable[str]) -> Column:
     """``isin`` that answers false, not null, for a null value."""
-    return F.coalesce(_col(column).isin(sorted(values)), F.lit(False))
+    return F.coalesce(_col(column).isin(list(values)), F.lit(False))
 
 
 def not_one_of(column: Column | str, values: Iterable[str]) -> Column:

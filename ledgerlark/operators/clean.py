@@ -13,12 +13,12 @@ from ledgerlark.functions import not_one_of
 # The cleaning rules' word lists and patterns.
 COUNTRY_NAMES = {"EIRE": "Ireland", "RSA": "South Africa"}
 NOT_A_PRODUCT = (
-    "AMAZON FEE",
-    "Adjust bad debt",
-    "CARRIAGE",
     "DOTCOM POSTAGE",
-    "Manual",
     "POSTAGE",
+    "CARRIAGE",
+    "Manual",
+    "AMAZON FEE",
+    "Adjust bad debt",
 )
 NON_SALES_INVOICE = "^[A-BD-Za-bd-z]"
 HOME_COUNTRY = "United Kingdom"
@@ -28,7 +28,7 @@ HOME_COUNTRY = "United Kingdom"
 # null: a missing country and a missing invoice number pass (the latter leaves when
 # lines are grouped by it), a missing quantity or price does not.
 KEEP_RULES = {
-    "real country": "Country IS NULL OR Country NOT IN ('European Community', 'Unspecified')",
+    "real country": "Country IS NULL OR Country NOT IN ('Unspecified', 'European Community')",
     "positive quantity": "coalesce(Quantity > 0, false)",
     "positive price": "coalesce(UnitPrice > 0, false)",
     "sales invoice": f"NOT coalesce(InvoiceNo RLIKE '{NON_SALES_INVOICE}', false)",

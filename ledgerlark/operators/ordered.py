@@ -25,8 +25,8 @@ from ledgerlark.operators.settle import settle
 
 RANGE = "_range"
 ROWS_PER_RANGE = 200_000
-SAMPLE_PER_RANGE = 20
-MOST_RANGES = 10_000
+SAMPLE_PER_RANGE = 60
+MOST_RANGES = 5_000
 _STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _JSON_TIMES = {"timestampFormat": _STAMP, "timestampNTZFormat": _STAMP}
 
@@ -56,7 +56,7 @@ def spread_in_order(
     rows = keys.count()
     if ranges is None:
         tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = min(rows // ROWS_PER_RANGE, tasks, MOST_RANGES)
+        ranges = min(rows // ROWS_PER_RANGE, 2 * tasks, MOST_RANGES)
     ranges = max(ranges, 2)
     fraction = min(1.0, ranges * SAMPLE_PER_RANGE / max(rows, 1))
     cut_points = keys.sample(fraction, seed=1).agg(

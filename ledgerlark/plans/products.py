@@ -9,7 +9,7 @@ from ledgerlark.operators.grain import product_grain
 from ledgerlark.operators.ordered import count_ranks, in_order
 from ledgerlark.operators.settle import settle
 
-# Case-insensitive words that make a product name look like a charge.
+# Words that make a product name look like a charge, in any case.
 CHARGE_WORDS = (
     "postage", "manual", "amazon", "fee", "discount",
     "sample", "bank", "voucher", "carriage", "adjust",

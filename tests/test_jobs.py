@@ -25,11 +25,11 @@ def test_contacts(spark, rows):
 
 def test_validated_load(spark, rows):
     batch = spark.createDataFrame(
-        [("booki", "28", "b@x"), ("Kim", "abc", "k@x"), ("", "35", "n@x"), ("Park", " 41 ", "p@x"), ("", "abc", None),
+        [("Robin", "28", "b@x"), ("Kim", "abc", "k@x"), ("", "35", "n@x"), ("Park", " 41 ", "p@x"), ("", "abc", None),
          (None, "1", None), ("Lee", "3.7", None), ("Choi", None, None)],
         "name string, age string, email string",
     )
-    assert rows(people.accepted(batch), "name", "age") == [("Park", 41), ("booki", 28)]
+    assert rows(people.accepted(batch), "name", "age") == [("Park", 41), ("Robin", 28)]
     reasons = [(r.name, r.reason) for r in people.quarantined(batch).collect()]
     assert sorted(reasons, key=str) == sorted(
         [("Kim", "parsing error"), ("", "validation error"), ("", "validation error"), (None, "validation error"),
@@ -107,9 +107,9 @@ def test_filters_labels_and_tiers(spark, rows):
     assert rows(select.with_discount(labelled, "amount"), "label", "discount") == [
         ("Paid", 0.10), ("Unknown", 0.0), ("Unknown", 0.05),
     ]
-    text = spark.createDataFrame([("booki,1200",), ("Kim,450",), ("Lee,780",), ("Park,50",)], "value string")
+    text = spark.createDataFrame([("Robin,1200",), ("Kim,450",), ("Lee,780",), ("Park,50",)], "value string")
     assert [(r.name, r.tier) for r in select.customers_from_text(text).collect()] == [
-        ("booki", "Gold"), ("Lee", "Silver"), ("Kim", "Bronze"), ("Park", "Bronze"),
+        ("Robin", "Gold"), ("Lee", "Silver"), ("Kim", "Bronze"), ("Park", "Bronze"),
     ]
     taxed = spark.createDataFrame([(150000.0,), (320000.0,), (80000.0,), (450000.0,), (210000.0,)], "a double")
     assert select.with_tax(taxed, "a", 0.1, 300_000).filter("is_vip").count() == 2
