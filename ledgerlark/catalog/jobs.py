@@ -48,7 +48,8 @@ def summary_tables_as_csv(spark, sf_dir):
     """A summary written as CSV and read back as the text it holds."""
     folder = _folder(spark)
     lines = rules.clean(sales_lines(spark, sf_dir))
-    write_summaries({"q2_monthly_revenue": months.monthly_revenue(lines)}, folder)
+    monthly = months.monthly_revenue(lines)
+    write_summaries({"q2_monthly_revenue": (monthly, ["YearMonth"])}, folder)
     rows = read_text_rows(spark, f"{folder}/q2_monthly_revenue.csv", ["YearMonth", "Revenue"])
     return rows.selectExpr(
         "YearMonth", "try_cast(Revenue AS double) AS Revenue", "NOT contains(Revenue, 'E') AS is_plain"

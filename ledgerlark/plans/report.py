@@ -24,16 +24,19 @@ def staged(lines: DataFrame) -> DataFrame:
     return lines.sparkSession.read.parquet(path)
 
 
-def summaries(grains: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The five summary tables, named as the files they are written to."""
+def summaries(grains: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, list[str]]]:
+    """The five summary tables, named as the files they are written to, with their order."""
     top = q5.customer_value(grains["customers"])
     return {
-        "q1_country_revenue": grains["countries"],
-        "q2_monthly_revenue": grains["months"].select("YearMonth", "Revenue"),
-        "q3_top_products": q3.top_products(grains["products"]),
-        "q4_large_order_impact": q4.large_order_impact(grains["invoices"]),
+        "q1_country_revenue": (grains["countries"], ["-Revenue", "Country"]),
+        "q2_monthly_revenue": (grains["months"].select("YearMonth", "Revenue"), ["YearMonth"]),
+        "q3_top_products": (q3.top_products(grains["products"]), ["-Revenue", "Description"]),
+        "q4_large_order_impact": (q4.large_order_impact(grains["invoices"]), ["Threshold"]),
         # Written as the number type the source files hold customers in.
-        "q5_top_customers": top.withColumn("CustomerID", F.col("CustomerID").cast("double")),
+        "q5_top_customers": (
+            top.withColumn("CustomerID", F.col("CustomerID").cast("double")),
+            ["-TotalRevenue", "CustomerID"],
+        ),
     }
 
 

@@ -13,9 +13,11 @@ from ledgerlark.sources.schema import SALES_LINES
 READABLE_SUFFIXES = (".csv", ".parquet")
 
 
-def load_raw(spark: SparkSession, path: str) -> DataFrame:
+def load_raw(spark: SparkSession, path: str, date_format: str | None = None) -> DataFrame:
     """Read sales lines as stored, with the declared types.
 
+    ``date_format`` is the pattern of invoice dates in a CSV file that are not ISO.
+
     A path that does not exist raises ``FileNotFoundError`` and an unknown suffix
     raises ``ValueError``; the suffix may be in any case.  Both are found before any
     row is read.  NaN prices become null and customer numbers become whole numbers.
@@ -29,6 +31,8 @@ def load_raw(spark: SparkSession, path: str) -> DataFrame:
     reader = spark.read.schema(SALES_LINES)
     try:
         if suffix == ".csv":
+            if date_format is not None:
+                reader = reader.option("timestampNTZFormat", date_format)
             lines = reader.option("header", True).option("mode", "FAILFAST").csv(str(path))
         else:
             lines = reader.parquet(str(path))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
@@ -33,14 +33,18 @@ def write_csv(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
     )
 
 
-def write_summaries(tables: Mapping[str, DataFrame], directory: str) -> None:
-    """Write the summary tables, one folder with one CSV file each.
+def write_summaries(
+    tables: Mapping[str, tuple[DataFrame, Sequence[str]]], directory: str
+) -> None:
+    """Write summary tables, one folder with one CSV file each, in the given order.
 
-    Only for results of bounded size (top-n lists, months, countries, thresholds):
-    each is brought to one partition before it is written.
+    Each table comes with ascending sort expressions.  Only for results of bounded size
+    (top-n lists, months, countries, thresholds): each is brought to one partition, and
+    sorted there, before it is written.
     """
-    for name, table in tables.items():
-        write_csv(table.coalesce(1), f"{directory}/{name}.csv")
+    for name, (table, order) in tables.items():
+        one = table.coalesce(1).sortWithinPartitions(*[F.expr(e) for e in order])
+        write_csv(one, f"{directory}/{name}.csv")
 
 
 def write_chart_frames(frames: Mapping[str, DataFrame], directory: str) -> None:

@@ -48,6 +48,15 @@ def test_hand_written_csv(spark, tmp_path):
     assert str(first.InvoiceDate) == "2010-12-01 08:26:00" and second.CustomerID is None
 
 
+def test_csv_with_other_dates(spark, tmp_path):
+    file = tmp_path / "lines.csv"
+    file.write_text(
+        "InvoiceNo,StockCode,Description,Quantity,InvoiceDate,UnitPrice,CustomerID,Country\n"
+        "1,2,MUG,6,12/1/2010 8:26,2.55,17850,France\n"
+    )
+    assert str(load_raw(spark, str(file), "M/d/yyyy H:mm").first().InvoiceDate) == "2010-12-01 08:26:00"
+
+
 def test_numbers_have_no_exponent(spark):
     values = [10649572.444, 14646.0, 0.001, 123456789012.25, 3838.4386301369864, 0.00001]
     frame = spark.createDataFrame([(v,) for v in values], "v double").select("v", plain_number("v").alias("t"))
@@ -90,5 +99,8 @@ def test_report_writes_all_tables(spark, tmp_path):
         table = list(csv.DictReader(handle))
     assert len(table) == 20 and list(table[0]) == ["CustomerID", "TotalRevenue", "OrderCount", "AvgOrderValue"]
     assert table[0]["CustomerID"].endswith(".0")
+    (months,) = Path(tmp_path / "out" / "summaries" / "q2_monthly_revenue.csv").glob("part-*.csv")
+    names = [line.split(",")[0] for line in months.read_text().splitlines()]
+    assert names[0] == "YearMonth" and names[1:] == sorted(names[1:]) and len(names) > 12
     spent = [float(r["TotalRevenue"]) for r in table]
     assert spent == sorted(spent, reverse=True)
