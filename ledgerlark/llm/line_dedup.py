@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlark.llm.shared import attach, table, with_document_key
+from ledgerlark.llm.shared import attach, stage, table, with_document_key
 
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -55,10 +55,14 @@ def dropped_lines(
         .sortWithinPartitions("h1", "h2", "doc_id", "_t", "pos")
     )
     # One row per key and document, folded where it lies: a range never cuts a document.
-    runs = ordered.groupBy("h1", "h2", "doc_id", "_t").agg(
-        F.sort_array(F.collect_set("pos")).alias("at")
+    # Written once, as the texts would be split anew for each of its two readers.
+    runs = stage(
+        ordered.groupBy("h1", "h2", "doc_id", "_t").agg(
+            F.sort_array(F.collect_set("pos")).alias("at")
+        )
     )
-    common = (
+    # Written as well: a join of two plain shuffles lets a hot key be split.
+    common = stage(
         runs.groupBy("h1", "h2")
         .agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "_t")).alias("first"))
         .filter(F.col("n") >= min_docs)
