@@ -2,8 +2,11 @@
 
 from ledgerlark.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
+from ledgerlark.llm.quality import quality_query
+
 QUERIES = {
     "op3_line_dedup": line_dedup_query,
+    "op4_quality": quality_query,
 }
 
 ORACLE = {
