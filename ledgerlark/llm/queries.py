@@ -3,10 +3,12 @@
 from ledgerlark.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
 from ledgerlark.llm.quality import quality_query
+from ledgerlark.llm.toxicity import toxicity_query
 
 QUERIES = {
     "op3_line_dedup": line_dedup_query,
     "op4_quality": quality_query,
+    "op8_toxicity": toxicity_query,
 }
 
 ORACLE = {
