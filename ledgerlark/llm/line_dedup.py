@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlark.llm.shared import attach, stage, table, with_document_key
+from ledgerlark.llm.shared import attach, keep_runs, stage, table, with_document_key
 
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -80,17 +80,6 @@ def dropped_lines(
     )
 
 
-def _keep_runs(dropped: Column, n_lines: Column) -> Column:
-    """Run-length coded keep bitmap: (start, length) of each run of kept lines."""
-    edges = F.concat(F.array(F.lit(-1)), dropped, F.array(n_lines))
-    gaps = F.zip_with(
-        F.slice(edges, F.lit(1), F.size(edges) - 1),
-        F.slice(edges, F.lit(2), F.size(edges) - 1),
-        lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("length")),
-    )
-    return F.filter(gaps, lambda g: g["length"] > 0)
-
-
 def drop_common_lines(
     docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False
 ) -> DataFrame:
@@ -115,7 +104,7 @@ def drop_common_lines(
         "doc_id", "_lines",
         F.size("_lines").cast("bigint").alias("n_lines"),
         F.size("_dropped").cast("bigint").alias("n_dropped"),
-        _keep_runs(F.col("_dropped"), F.size("_lines")).alias("keep_runs"),
+        keep_runs(F.col("_dropped"), F.size("_lines")).alias("keep_runs"),
     )
     kept = F.transform(
         "keep_runs", lambda r: F.array_join(F.slice("_lines", r["start"] + 1, r["length"]), "\n")

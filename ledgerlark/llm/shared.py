@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlark.operators.settle import settle, use_checkpoint_folder
 
-__all__ = ["attach", "settle", "stage", "table", "text_of", "with_document_key"]
+__all__ = ["attach", "keep_runs", "settle", "stage", "table", "text_of", "with_document_key"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,3 +47,14 @@ def attach(docs: DataFrame, found: DataFrame, how: str = "left") -> DataFrame:
     other = found.withColumnsRenamed({"doc_id": "_doc", "_t": "_text"})
     same = docs["doc_id"].eqNullSafe(other["_doc"]) & (docs["_t"] == other["_text"])
     return docs.join(other, same, how).drop("_doc", "_text")
+
+
+def keep_runs(dropped: Column, n_pieces: Column) -> Column:
+    """Run-length coded keep bitmap: (start, length) of each run of kept pieces."""
+    edges = F.concat(F.array(F.lit(-1)), dropped, F.array(n_pieces))
+    gaps = F.zip_with(
+        F.slice(edges, F.lit(1), F.size(edges) - 1),
+        F.slice(edges, F.lit(2), F.size(edges) - 1),
+        lambda a, b: F.struct((a + 1).alias("start"), (b - a - 1).alias("length")),
+    )
+    return F.filter(gaps, lambda g: g["length"] > 0)
