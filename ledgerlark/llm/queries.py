@@ -2,12 +2,14 @@
 
 from ledgerlark.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
+from ledgerlark.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join_query
 from ledgerlark.llm.pii import PII_SQL, pii_query
 from ledgerlark.llm.quality import quality_query
 from ledgerlark.llm.sentence_spans import SENTENCE_SPANS_SQL, sentence_spans_query
 from ledgerlark.llm.toxicity import toxicity_query
 
 QUERIES = {
+    "op1_ngram_join": ngram_join_query,
     "op2_pii": pii_query,
     "op3_line_dedup": line_dedup_query,
     "op4_quality": quality_query,
@@ -16,6 +18,7 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_ngram_join": NGRAM_JOIN_SQL,
     "op2_pii": PII_SQL,
     "op3_line_dedup": LINE_DEDUP_SQL,
     "op6_sentence_spans": SENTENCE_SPANS_SQL,
