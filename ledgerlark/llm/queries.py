@@ -3,6 +3,7 @@
 from ledgerlark.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
 from ledgerlark.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join_query
+from ledgerlark.llm.pieces import pieces_query
 from ledgerlark.llm.pii import PII_SQL, pii_query
 from ledgerlark.llm.quality import quality_query
 from ledgerlark.llm.sentence_spans import SENTENCE_SPANS_SQL, sentence_spans_query
@@ -14,6 +15,7 @@ QUERIES = {
     "op3_line_dedup": line_dedup_query,
     "op4_quality": quality_query,
     "op6_sentence_spans": sentence_spans_query,
+    "op7_pieces": pieces_query,
     "op8_toxicity": toxicity_query,
 }
 
