@@ -163,14 +163,16 @@ def _links_in_bands(least: tuple[int, ...]):
 
 
 def _alike_in(sig: np.ndarray, node: np.ndarray, least: tuple[int, ...]) -> set[tuple[int, int]]:
-    xs, ys = [], []
-    for a in range(0, len(node), 500):
-        for b in range(a, len(node), 500):
-            x, y = agreeing(sig[a : a + 500], sig[b : b + 500], least)
-            xs.append(x + a)
-            ys.append(y + b)
-    x, y = np.concatenate(xs), np.concatenate(ys)
-    p, q = forest(x[x != y], y[x != y], len(node))
+    """Spanning edges of the pairs that survive in one band; blocks keep at most a forest each."""
+    size, edges = 256, [np.zeros((2, 0), np.int64)]
+    for a in range(0, len(node), size):
+        for b in range(a, len(node), size):
+            x, y = agreeing(sig[a : a + size], sig[b : b + size], least)
+            p, q = forest(x, y + size if a != b else y, 2 * size)
+            shift = np.where(np.stack([p, q]) < size, a, b - size if a != b else a)
+            edges.append(np.stack([p, q]) + shift)
+    x, y = np.concatenate(edges, axis=1)
+    p, q = forest(x, y, len(node))
     return set(zip(node[p].tolist(), node[q].tolist(), strict=True))
 
 

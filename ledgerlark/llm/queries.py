@@ -1,5 +1,6 @@
 """The registered queries of this package and the SQL they are checked against."""
 
+from ledgerlark.llm.decontaminate import decontaminate_query
 from ledgerlark.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
 from ledgerlark.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join_query
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_pii": pii_query,
     "op3_line_dedup": line_dedup_query,
     "op4_quality": quality_query,
+    "op5_decontaminate": decontaminate_query,
     "op6_sentence_spans": sentence_spans_query,
     "op7_pieces": pieces_query,
     "op8_toxicity": toxicity_query,
