@@ -286,9 +286,10 @@ def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
 
     # Terms by kind, then by place, behind the base kinds.
-    terms = F.concat(*[
-        F.filter("terms", lambda s, kind=kind: s["kind"] == kind) for kind in ("generalised", "removed")
-    ])
+    terms = F.concat(
+        F.filter("terms", lambda s: s["kind"] == "generalised"),
+        F.filter("terms", lambda s: s["kind"] == "removed"),
+    )
     base = F.concat(*KINDS)
     return spans.select(
         "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS],
