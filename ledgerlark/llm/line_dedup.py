@@ -12,9 +12,13 @@ The whole plan is made of DataFrame functions.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlark.llm.shared import attach, keep_runs, stage, table, with_document_key
+from ledgerlark.llm.shared import (
+    attach, keep_runs, stage, table, text_of, with_document_key, with_text_key,
+)
 
 BLANKS = " \t\n\x0b\x0c\r"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -81,27 +85,34 @@ def dropped_lines(
 
 
 def drop_common_lines(
-    docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False
+    docs: DataFrame,
+    min_docs: int = 10,
+    min_chars: int = 1,
+    keep_first: bool = False,
+    carry: Sequence[str] = ("doc_id",),
 ) -> DataFrame:
-    """``(doc_id, n_lines, n_dropped, keep_runs, kept_text)`` for every row of ``docs``.
+    """``carry`` columns, ``n_lines, n_dropped, keep_runs, kept_text`` for every row of ``docs``.
 
     A line's key is the line without blanks (space, tab to carriage return) at its ends,
     A-Z in lower case.  Keys of at least ``min_chars`` characters found in ``min_docs``
     documents or more lose their lines.  A document is a distinct (doc_id, text).
+    ``keep_runs`` is the run-length coded keep bitmap: start and length of each run.
 
     Null or empty text: one empty line, whose key is too short to be dropped unless
     ``min_chars`` is 0.  Null doc_id: a document like any other.  Repeated rows count once
-    and each get the result.  Other columns are ignored.  An empty table gives no rows.
+    and each get the result.  Columns that are not carried are ignored.  An empty table
+    gives no rows.
     """
-    keyed = with_document_key(docs)
-    drops = dropped_lines(keyed, min_docs, min_chars, keep_first)
-    joined = attach(keyed, drops).select(
-        "doc_id",
-        F.split("text", "\n", -1).alias("_lines"),
+    drops = dropped_lines(with_document_key(docs), min_docs, min_chars, keep_first)
+    rows = with_text_key(docs.select(*dict.fromkeys(["doc_id", "text", *carry])))
+    carried = [F.col(c) for c in carry if c not in ("n_lines", "n_dropped", "keep_runs", "kept_text")]
+    joined = attach(rows, drops).select(
+        *carried,
+        F.split(text_of(), "\n", -1).alias("_lines"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("_dropped"),
     )
     runs = joined.select(
-        "doc_id", "_lines",
+        *carried, "_lines",
         F.size("_lines").cast("bigint").alias("n_lines"),
         F.size("_dropped").cast("bigint").alias("n_dropped"),
         keep_runs(F.col("_dropped"), F.size("_lines")).alias("keep_runs"),
@@ -110,7 +121,7 @@ def drop_common_lines(
         "keep_runs", lambda r: F.array_join(F.slice("_lines", r["start"] + 1, r["length"]), "\n")
     )
     return runs.select(
-        "doc_id", "n_lines", "n_dropped", "keep_runs", F.array_join(kept, "\n").alias("kept_text")
+        *carried, "n_lines", "n_dropped", "keep_runs", F.array_join(kept, "\n").alias("kept_text")
     )
 
 

@@ -11,12 +11,13 @@ between rounds; only the weight vector (2**bits doubles) meets on the driver.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerlark.llm.labelled import fitting_sample, held_out
 from ledgerlark.llm.shared import stage, table
@@ -177,13 +178,17 @@ def fit_quality(
     return weights[:-1], float(weights[-1])
 
 
-def quality_scores(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
-    """``(doc_id, score)`` for every row: the chance, 0 to 1, that its text is good.
+def quality_scores(
+    docs: DataFrame, weights: np.ndarray, bias: float, carry: Sequence[str] = ("doc_id",)
+) -> DataFrame:
+    """The ``carry`` columns and ``score`` for every row: the chance, 0 to 1, that its text is good.
 
     Null or empty text: the score of a text without features.  A null doc_id stays null,
-    repeated rows each get a row, other columns are ignored.
+    repeated rows each get a row, columns that are not carried are ignored.
     """
     sent = docs.sparkSession.sparkContext.broadcast((weights, bias))
+    carry = list(carry)
+    rows = docs.select(*dict.fromkeys([*carry, "text"]))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,10 +196,12 @@ def quality_scores(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFra
             for _, texts in text_batches(batch.column("text").to_pylist()):
                 scores.append(1.0 / (1.0 + np.exp(-np.clip(margins(texts, *sent.value), -35, 35))))
             values = np.concatenate(scores) if scores else np.zeros(0)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(values)], ["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in carry), pa.array(values)], [*carry, "score"]
+            )
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(score, f"doc_id {kind}, score double")
+    schema = StructType([*docs.select(*carry).schema.fields, StructField("score", DoubleType())])
+    return rows.mapInArrow(score, schema)
 
 
 def quality_query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """The registered queries of this package and the SQL they are checked against."""
 
+import corpus_pipeline
 from ledgerlark.llm.decontaminate import decontaminate_query
 from ledgerlark.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
@@ -11,6 +12,7 @@ from ledgerlark.llm.sentence_spans import SENTENCE_SPANS_SQL, sentence_spans_que
 from ledgerlark.llm.toxicity import toxicity_query
 
 QUERIES = {
+    "pipeline": corpus_pipeline.run,
     "op1_ngram_join": ngram_join_query,
     "op2_pii": pii_query,
     "op3_line_dedup": line_dedup_query,
@@ -27,3 +29,5 @@ ORACLE = {
     "op3_line_dedup": LINE_DEDUP_SQL,
     "op6_sentence_spans": SENTENCE_SPANS_SQL,
 }
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL

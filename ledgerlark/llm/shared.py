@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ledgerlark.operators.settle import settle, use_checkpoint_folder
 
-__all__ = ["attach", "keep_runs", "settle", "stage", "table", "text_of", "with_document_key"]
+__all__ = ["attach", "keep_runs", "packed", "settle", "stage", "table", "text_of", "unpacked", "with_document_key", "with_text_key"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,6 +42,28 @@ def with_document_key(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64(text, F.length(text)).alias("_t"), text.alias("text"))
 
 
+def with_text_key(docs: DataFrame) -> DataFrame:
+    """All columns of ``docs`` with ``_t`` beside them, to be joined by :func:`attach`."""
+    text = text_of()
+    return docs.withColumn("_t", F.xxhash64(text, F.length(text)))
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and all other columns in one struct, so that no name can clash."""
+    rest = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    return docs.select("doc_id", "text", F.struct(*rest, F.lit(0).alias("_end")).alias("_rest"))
+
+
+def unpacked(rows: DataFrame, columns: list[str], **new: Column) -> DataFrame:
+    """The columns of before :func:`packed`, in their order; ``new`` replaces some."""
+    def value(c: str) -> Column:
+        if c in new:
+            return new[c].alias(c)
+        return F.col(c) if c in ("doc_id", "text") else F.col("_rest")[c].alias(c)
+
+    return rows.select(*[value(c) for c in columns])
+
+
 def attach(docs: DataFrame, found: DataFrame, how: str = "left") -> DataFrame:
     """Join what was found per document, on (doc_id, _t); a null doc_id matches itself."""
     other = found.withColumnsRenamed({"doc_id": "_doc", "_t": "_text"})
