@@ -2,6 +2,7 @@
 
 import corpus_pipeline
 from ledgerlark.llm.decontaminate import decontaminate_query
+from ledgerlark.llm.lattice import LATTICE_SQL, lattice_query
 from ledgerlark.llm.line_dedup import LINE_DEDUP_SQL, line_dedup_query
 
 from ledgerlark.llm.ngram_join import NGRAM_JOIN_SQL, ngram_join_query
@@ -21,6 +22,7 @@ QUERIES = {
     "op6_sentence_spans": sentence_spans_query,
     "op7_pieces": pieces_query,
     "op8_toxicity": toxicity_query,
+    "op9_lattice": lattice_query,
 }
 
 ORACLE = {
@@ -28,6 +30,7 @@ ORACLE = {
     "op2_pii": PII_SQL,
     "op3_line_dedup": LINE_DEDUP_SQL,
     "op6_sentence_spans": SENTENCE_SPANS_SQL,
+    "op9_lattice": LATTICE_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
