@@ -10,6 +10,7 @@ from ledgerlark.llm.pieces import pieces_query
 from ledgerlark.llm.pii import PII_SQL, pii_query
 from ledgerlark.llm.quality import quality_query
 from ledgerlark.llm.sentence_spans import SENTENCE_SPANS_SQL, sentence_spans_query
+from ledgerlark.llm.suffix_dedup import SUFFIX_DEDUP_SQL, suffix_dedup_query
 from ledgerlark.llm.toxicity import toxicity_query
 
 QUERIES = {
@@ -23,6 +24,7 @@ QUERIES = {
     "op7_pieces": pieces_query,
     "op8_toxicity": toxicity_query,
     "op9_lattice": lattice_query,
+    "op10_suffix_dedup": suffix_dedup_query,
 }
 
 ORACLE = {
@@ -31,6 +33,7 @@ ORACLE = {
     "op3_line_dedup": LINE_DEDUP_SQL,
     "op6_sentence_spans": SENTENCE_SPANS_SQL,
     "op9_lattice": LATTICE_SQL,
+    "op10_suffix_dedup": SUFFIX_DEDUP_SQL,
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLE["pipeline"] = corpus_pipeline.ORACLE_SQL
