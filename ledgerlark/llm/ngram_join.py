@@ -131,7 +131,11 @@ def agreeing(a: np.ndarray, b: np.ndarray, least: tuple[int, ...]) -> tuple[np.n
 
 
 def forest(x: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges of a spanning forest of the graph with edges (x, y) on ``size`` nodes."""
+    """Edges of a spanning forest of the graph with edges (x, y) on ``size`` nodes.
+
+    Each node is tied to the first of its component, so that rows sorted by node give the
+    same edges wherever the same nodes meet.
+    """
     label = np.arange(size)
     while True:
         low = label.copy()
@@ -296,7 +300,7 @@ def similar_documents(
     beginning = classes.select("node", F.substring("sig", 1, 2 * SHORT).alias("sig"))
     pruned = (
         met.filter(F.col("size") <= LARGE_BAND).select("h", "node").join(beginning, "node")
-        .repartition("h").sortWithinPartitions("h")
+        .repartition("h").sortWithinPartitions("h", "node")
         .mapInArrow(_links_in_bands(least[: SHORT // STEP]), "a long, b long")
     )
     whole = met.filter((F.col("size") > LARGE_BAND) & (F.col("node") != F.col("low"))).select(
@@ -313,7 +317,7 @@ def similar_documents(
     cut = tiles(members.select("node", "component", "copies", "n", "sig"), "n", 400, 400_000)
     found = stage(
         cut.join(grams, "node").select("component", "i", "j", "chunk", "node", "copies", "sig", "grams")
-        .repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+        .repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
         .mapInArrow(_links_in_tiles(threshold, least, length), "a long, b long, links long")
     )
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
