@@ -228,7 +228,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     sketches = classes.select("node", "vector").mapInArrow(_sketched, "node long, sketch binary")
     pruned = (
         met.filter(F.col("size") <= LARGE_CELL).select("h", "node", "own").join(sketches, "node")
-        .repartition("h").sortWithinPartitions("h").mapInArrow(_links_in_cells, "a long, b long")
+        .repartition("h").sortWithinPartitions("h", "node").mapInArrow(_links_in_cells, "a long, b long")
     )
     whole = met.filter((F.col("size") > LARGE_CELL) & (F.col("node") != F.col("least"))).select(
         F.col("node").alias("a"), F.col("least").alias("b")
@@ -239,7 +239,7 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
     found = stage(
         tiles(stage(members), "n", 1_000, 1_000_000)
         .select("component", "i", "j", "chunk", "node", "copies", "vector")
-        .repartition("component", "i", "j").sortWithinPartitions("component", "i", "j")
+        .repartition("component", "i", "j").sortWithinPartitions("component", "i", "j", "node")
         .mapInArrow(_links_in_tiles(threshold), "a long, b long, links long")
     )
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
