@@ -339,7 +339,7 @@ def similar_documents(
         "doc_id", "_t",
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         F.when(F.col("best").isNull(), F.col("doc_id")).otherwise(F.col("best.doc_id")).alias("class_id"),
-        F.coalesce(own.eqNullSafe(F.col("best")), F.lit(True)).alias("kept"),
+        (F.col("best").isNull() | own.eqNullSafe(F.col("best"))).alias("kept"),
     )
 
 
