@@ -46,6 +46,17 @@ _KIND = _kind_table()
 _POWER = np.cumprod(np.full(64, 0x9E3779B97F4A7C15 | 1, np.uint64))
 
 
+_LETTER = mix(np.arange(1, _KINDS + 1, dtype=np.uint64))
+
+
+def _letters(points: np.ndarray) -> np.ndarray:
+    codes = _LETTER[np.minimum(points, _KINDS - 1)]
+    far = points >= _KINDS
+    if far.any():
+        codes[far] = mix(points[far].astype(np.uint64) + np.uint64(1))
+    return codes
+
+
 def features(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(hashed feature, number of the text, tokens per text)`` for each occurrence.
 
@@ -68,12 +79,10 @@ def features(texts: list[str], bits: int = BITS) -> tuple[np.ndarray, np.ndarray
     text_no = np.searchsorted(ends_at, head, "right")
     np.add.at(counts, text_no, 1)
     with np.errstate(over="ignore"):
-        weights = _POWER[np.arange(len(points)) & 63]
-        run = np.zeros(len(points) + 1, np.uint64)
-        np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * weights, out=run[1:])
-        inverse = np.uint64(pow(int(_POWER[0]), -1, 1 << 64))
-        down = np.cumprod(np.full(64, inverse, np.uint64))
-        token = mix((run[tail] - run[head]) * down[head & 63])
+        inside = group != _SPACE
+        begin = np.cumsum(n_chars) - n_chars
+        place = np.arange(int(n_chars.sum())) - np.repeat(begin, n_chars)
+        token = mix(np.add.reduceat(_letters(points[inside]) * _POWER[place & 63], begin))
         upper = np.zeros(len(points) + 1, np.int64)
         np.cumsum(kind == _UPPER, out=upper[1:])
         n_upper = upper[tail] - upper[head]
