@@ -75,7 +75,7 @@ def build_shard(term: np.ndarray, item: np.ndarray, impact: np.ndarray, ids: lis
     block_max = np.zeros((len(terms), -(-len(ids) // BLOCK_ITEMS)), np.float32)
     np.maximum.at(block_max, (at, item // BLOCK_ITEMS), np.nextafter(impact, 2).astype(np.float32) * np.float32(1.00001))
     parts = [tuple(_part(p) for p in question_and_answer(t)) for t in texts]
-    return Shard(terms, first, item, impact, block_max.max(axis=1), block_max, ids, parts, max(longest, 8))
+    return Shard(terms, first, item, impact, block_max.max(axis=1, initial=0), block_max, ids, parts, max(longest, 8))
 
 
 def _share(part: tuple[bool, np.ndarray], passage: tuple[np.ndarray, np.ndarray]) -> float:
@@ -196,13 +196,13 @@ def contaminated(
     the best passage as a share of the item's own; the overlaps are shares of the
     three-word runs of the item's question and answer that the passage holds.
 
-    Null or empty text on either side finds nothing, as do items without a word.  Items
-    are told apart by item_id; of several texts with one id (a null one included) the
-    smallest is used.  Repeated documents each get their rows once per doc_id.  Other
+    Null or empty text on either side finds nothing, as do items without a word and items
+    with a null item_id, which could not be named.  Items are told apart by item_id; of
+    several texts with one id the smallest is used.  Repeated documents each get their rows once per doc_id.  Other
     columns are ignored.  Empty tables give no rows.
     """
     spark = docs.sparkSession
-    usable = items.select("item_id", text_of().alias("text")).groupBy("item_id").agg(F.min("text").alias("text"))
+    usable = items.filter("item_id IS NOT NULL").select("item_id", text_of().alias("text")).groupBy("item_id").agg(F.min("text").alias("text"))
     weights = stage(impacts(usable))
     n_items = weights.select("item_id").distinct().count()
     shards = max(1, -(-n_items // shard_items))
@@ -214,7 +214,7 @@ def contaminated(
         # About ``shard_items`` items: the bound of what the driver and each task hold.
         rows = weights.filter(shard == s).toPandas()
         texts = {r.item_id: r.text for r in usable.filter(shard == s).toLocalIterator()}
-        ids = sorted(rows["item_id"].unique().tolist(), key=lambda v: (v is not None, v))
+        ids = sorted(rows["item_id"].unique().tolist())
         numbers = {v: i for i, v in enumerate(ids)}
         sent = spark.sparkContext.broadcast(build_shard(
             rows["term"].to_numpy(np.int64).astype(np.uint64),
