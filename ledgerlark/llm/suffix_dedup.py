@@ -446,12 +446,12 @@ def repeated_spans(
         single = stage(known.join(heavy, "h").mapInArrow(
             _single_strings(length, gram), "c1 long, c2 long, n long, o long, s1 long, s2 long"
         ))
-        # Contexts are told apart by name; one that several tasks met adds up.
+        # Counted by the place of the anchor, as one occurrence may hold several anchors.
         twice = stage(
-            single.groupBy("s1", "s2").agg(F.sum("n").alias("n")).filter("n > 1").select("s1", "s2")
+            single.groupBy("s1", "s2", "o").agg(F.sum("n").alias("n")).filter("n > 1").select("s1", "s2", "o")
         )
         spans = spans.unionByName(
-            single.join(twice, ["s1", "s2"], "left_semi").select(
+            single.join(twice, ["s1", "s2", "o"], "left_semi").select(
                 "c1", "c2", (-F.col("o")).alias("low"), (length - F.col("o")).alias("high")
             ).distinct()
         )
