@@ -30,7 +30,7 @@ from ledgerlark.llm.words import text_batches
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
-KEPT_SEGMENTS = 300_000
+KEPT_SEGMENTS = 700_000
 _SEGMENT = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
 
 
@@ -222,6 +222,18 @@ class Encoder:
         return np.array(list(chain.from_iterable(map(self.known.__getitem__, segments))), np.int32)
 
 
+_ENCODERS: dict[int, Encoder] = {}
+
+
+def _encoder_of_this_worker(vocabulary: tuple[list[str], list[float], int]) -> Encoder:
+    """The encoder that a worker process keeps from task to task, with what it has learnt."""
+    name = hash((tuple(vocabulary[0]), tuple(vocabulary[1]), vocabulary[2]))
+    if name not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[name] = Encoder(*vocabulary)
+    return _ENCODERS[name]
+
+
 class Decoder:
     """Ids back to text."""
 
@@ -245,7 +257,7 @@ def encoded(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = Encoder(*sent.value), Decoder(sent.value[0], sent.value[2])
+        encoder, decoder = _encoder_of_this_worker(sent.value), Decoder(sent.value[0], sent.value[2])
         for batch in batches:
             for first, texts in text_batches(batch.column("text").to_pylist()):
                 found = [encoder.encode(t) for t in texts]
