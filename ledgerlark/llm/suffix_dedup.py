@@ -38,8 +38,8 @@ from ledgerlark.llm.shared import attach, stage, table, with_document_key
 from ledgerlark.llm.words import mix
 
 LENGTH, GRAM = 200, 64
-CHUNK = 1 << 20
-CONTEXTS_PER_RANGE = 40_000
+CHUNK = 1 << 18
+CONTEXTS_PER_RANGE = 10_000
 MOST_CONTEXTS = 20_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
@@ -166,7 +166,10 @@ def _context_rows(length: int, gram: int):
                 place = _places(at, number, offset)
                 change = np.flatnonzero(np.diff(number, prepend=-1) | np.diff(offset, prepend=-1))
                 first = change[np.searchsorted(change, at, "right") - 1]
-                found = [r.tobytes() for r in contexts(data, at, first, ends, length, gram)]
+                found = []
+                for a in range(0, len(at), 1024):
+                    part = contexts(data, at[a : a + 1024], first[a : a + 1024], ends, length, gram)
+                    found += [r.tobytes() for r in part]
                 # Near a cut of a very long document a context is shorter than it could be;
                 # the part before or after has the same anchor with the rest.
                 names = [xxhash.xxh3_128_digest(c) for c in found]
@@ -326,7 +329,7 @@ def covered(grid: np.ndarray, shared: np.ndarray, counts: np.ndarray, length: in
     """
     left = length - gram
     right_shared = shared - 8
-    before = grid[:, 8 + length : 8 + length + left].astype(np.uint64)
+    before = grid[:, 8 + length : 8 + length + left]
     sizes = grid[:, 8 + length + left :].astype(np.int64)
     right_size, left_size = sizes[:, 0] * 256 + sizes[:, 1], sizes[:, 2] * 256 + sizes[:, 3]
     marks = np.zeros((len(grid), left + 3), np.int8)
@@ -343,7 +346,7 @@ def covered(grid: np.ndarray, shared: np.ndarray, counts: np.ndarray, length: in
             twice[order[:-1][same]] = True
             marks[valid[twice], o + 1] = 1
             if o < left:
-                seen = mix(seen * np.uint64(31) + before[:, o] + np.uint64(1))
+                seen = mix(seen * np.uint64(31) + before[:, o].astype(np.uint64) + np.uint64(1))
     step = np.diff(marks, axis=1)
     row, begin = np.nonzero(step[:, :-1] == 1)
     _, after = np.nonzero(step == -1)
