@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ledgerlark.catalog.sql import MONEY, money, query
+from ledgerlark.catalog.sql import money, query
 from ledgerlark.functions import exact_sum
 from ledgerlark.jobs import logs, people, rankings, reconcile
 from ledgerlark.operators import clean as rules, profile, select, sequences, sets
@@ -27,6 +27,7 @@ from ledgerlark.sources import (
     write_summaries,
 )
 
+# Fixed values.
 STATUS = {"F": "Fulfilled", "P": "Pending"}
 
 
@@ -83,8 +84,14 @@ def lines_appended(spark, sf_dir):
 
 def summary_as_json(spark, sf_dir):
     path = _folder(spark)
-    write_json(logs.log_summary(_log_lines(spark, sf_dir), "event_id").select("total_requests", "error_rate"), path)
-    return spark.read.schema("total_requests bigint, error_rate double").json(path)
+    """The whole summary with its nested breakdown, written and read back."""
+    breakdown = F.from_json(F.get_json_object("summary", "$.status_breakdown"), "map<string,bigint>")
+    summary = logs.log_summary(_log_lines(spark, sf_dir), "event_id")
+    write_json(summary.select("total_requests", breakdown.alias("status_breakdown"), "error_rate"), path)
+    read = spark.read.schema(
+        "total_requests bigint, status_breakdown map<string,bigint>, error_rate double"
+    ).json(path)
+    return read.selectExpr("total_requests", "error_rate", "to_json(status_breakdown) AS status_breakdown")
 
 
 # --- people -------------------------------------------------------------------------
@@ -375,7 +382,8 @@ def running_event_values(spark, sf_dir):
     events = table(spark, sf_dir, "events").selectExpr("event_id", "ts", "user_id", "1 + value / 10000 AS factor")
     running = sequences.running_values(events, "user_id", ["ts", "event_id"], "factor")
     return running.selectExpr(
-        "event_id", "user_id", "position", "running_sum", "running_max", "round(running_product, 6) AS running_product"
+        "event_id", "user_id", "position", "round(running_sum, 9) AS running_sum", "running_max",
+        "round(running_product, 6) AS running_product",
     )
 
 
@@ -424,21 +432,30 @@ def region_monthly_growth(spark, sf_dir):
 
 
 def region_quarter_growth(spark, sf_dir):
-    """Third quarter of 2001 against the second; ``2001-Q4`` has no orders yet."""
-    quarter = "year(o_orderdate) || '-Q' || quarter(o_orderdate)"
-    quarters = _region_orders(spark, sf_dir).groupBy(F.col("r_name").alias("region")).agg(
-        F.coalesce(exact_sum(F.expr(f"IF({quarter} = '2001-Q2', o_totalprice, NULL)")), F.lit(0.0)).alias("current"),
-        F.coalesce(exact_sum(F.expr(f"IF({quarter} = '2001-Q4', o_totalprice, NULL)")), F.lit(0.0)).alias("previous"),
-        F.coalesce(exact_sum(F.expr(f"IF({quarter} = '2001-Q1', o_totalprice, NULL)")), F.lit(0.0)).alias("before"),
+    """Second quarter of 2001 against the first; Africa is taken as opened in the second."""
+    half = _region_orders(spark, sf_dir).filter(
+        "o_orderdate >= timestamp_ntz'2001-01-01' AND o_orderdate < timestamp_ntz'2001-07-01'"
     )
-    grown = rankings.quarter_growth(quarters)
-    return grown.withColumn("growth_from_q1", F.expr("round(try_divide(current - before, before), 6)"))
+    in_first = "quarter(o_orderdate) = 1"
+    quarters = half.groupBy(F.col("r_name").alias("region")).agg(
+        F.coalesce(exact_sum(F.expr(f"IF({in_first}, NULL, o_totalprice)")), F.lit(0.0)).alias("current"),
+        F.coalesce(
+            exact_sum(F.expr(f"IF({in_first} AND r_name <> 'AFRICA', o_totalprice, NULL)")), F.lit(0.0)
+        ).alias("previous"),
+    )
+    return rankings.quarter_growth(quarters).withColumn("growth", F.round("growth", 9))
 
 
 def brand_pairs(spark, sf_dir):
     return sequences.pair_counts(_baskets(spark, sf_dir), "l_orderkey", "p_brand")
 
 
+def product_pairs(spark, sf_dir):
+    """Products bought together on two invoices or more."""
+    lines = rules.clean(sales_lines(spark, sf_dir)).filter("InvoiceNo IS NOT NULL")
+    return sequences.pair_counts(lines, "InvoiceNo", "Description", min_baskets=2)
+
+
 def brand_pairs_ordered(spark, sf_dir):
     return sequences.pair_counts(_baskets(spark, sf_dir), "l_orderkey", "p_brand", ordered=True)
 
@@ -545,6 +562,7 @@ QUERIES = {
         region_quarter_growth,
         brand_pairs,
         brand_pairs_ordered,
+        product_pairs,
         customers_by_nation,
         customers_by_balance_size,
         customers_sorted,
@@ -623,7 +641,9 @@ FROM (SELECT CASE WHEN Country = 'United Kingdom' THEN 'United Kingdom' ELSE 'Ot
 FROM customer UNION ALL SELECT s_name, CAST(s_suppkey AS VARCHAR), s_suppkey FROM supplier""",
     "lines_appended": "SELECT n_name AS line FROM nation UNION ALL SELECT c_name FROM customer",
     "summary_as_json": query(
-        f"SELECT CAST(sum(n) AS BIGINT) AS total_requests, {_RATE} AS error_rate FROM seen", extra=_LOG
+        f"""SELECT CAST(sum(n) AS BIGINT) AS total_requests, {_RATE} AS error_rate,
+  '{{' || string_agg('"' || status || '":' || n, ',' ORDER BY status) || '}}' AS status_breakdown FROM seen""",
+        extra=_LOG,
     ),
     "normalised_contacts": query(
         f"""
@@ -737,7 +757,7 @@ FROM (SELECT user_id, row_number() OVER w AS position, event_type AS a,
              lead(event_type, 1) OVER w AS b, lead(event_type, 2) OVER w AS c
       FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)) WHERE c IS NOT NULL""",
     "running_event_values": f"""SELECT event_id, user_id, row_number() OVER w AS position,
-  CAST(sum(CAST(1 + value / 10000 AS {MONEY})) OVER w AS DOUBLE) AS running_sum,
+  round(sum(1 + value / 10000) OVER w, 9) AS running_sum,
   max(1 + value / 10000) OVER w AS running_max, round(product(1 + value / 10000) OVER w, 6) AS running_product
 FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""",
     "event_runs": """SELECT user_id, event_type, min(p) AS first_position, count(*) AS length
@@ -767,11 +787,12 @@ FROM (SELECT *, lag(Revenue) OVER (PARTITION BY region ORDER BY YearMonth) AS Pr
         },
     ),
     "region_quarter_growth": query(
-        """SELECT *, CASE WHEN previous <> 0 THEN ("current" - previous) / previous END AS growth,
-round(("current" - before) / nullif(before, 0), 6) AS growth_from_q1 FROM quarters""",
+        """SELECT *, round(CASE WHEN previous <> 0 THEN ("current" - previous) / previous END, 9) AS growth
+FROM quarters""",
         extra={
             "quarters": f"""SELECT r_name AS region, {_quarter_sql('2001-Q2')} AS "current",
-  {_quarter_sql('2001-Q4')} AS previous, {_quarter_sql('2001-Q1')} AS before FROM {_REGION_ORDERS} GROUP BY 1"""
+  CASE WHEN r_name = 'AFRICA' THEN 0 ELSE {_quarter_sql('2001-Q1')} END AS previous
+FROM {_REGION_ORDERS} WHERE o_orderdate >= '2001-01-01' AND o_orderdate < '2001-07-01' GROUP BY 1"""
         },
     ),
     "brand_pairs": query(
@@ -779,6 +800,13 @@ round(("current" - before) / nullif(before, 0), 6) AS growth_from_q1 FROM quarte
 JOIN baskets y ON x.l_orderkey = y.l_orderkey AND x.p_brand < y.p_brand GROUP BY 1, 2""",
         extra=_BASKETS,
     ),
+    "product_pairs": query(
+        """SELECT x.Description AS a, y.Description AS b, count(*) AS n
+FROM (SELECT DISTINCT InvoiceNo, Description FROM clean) x
+JOIN (SELECT DISTINCT InvoiceNo, Description FROM clean) y
+ON x.InvoiceNo = y.InvoiceNo AND x.Description < y.Description GROUP BY 1, 2 HAVING count(*) >= 2""",
+        "clean",
+    ),
     "brand_pairs_ordered": query(
         """SELECT x.p_brand AS a, y.p_brand AS b, count(*) AS n FROM baskets x
 JOIN baskets y ON x.l_orderkey = y.l_orderkey AND x.p_brand <> y.p_brand GROUP BY 1, 2""",

@@ -323,7 +323,7 @@ def _count(test: str, name: str) -> str:
 def _describe(source: str, columns: tuple[str, ...], *ctes: str, **extra: str) -> str:
     rows = [
         f"""SELECT '{c}' AS "Column", count({c}) AS "count",
-       round({money(c)} / count({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
+       round(avg({c}), 4) AS mean, round(stddev_samp({c}), 4) AS std,
        CAST(min({c}) AS DOUBLE) AS "min", round(quantile_cont({c}, 0.25), 4) AS p25,
        round(quantile_cont({c}, 0.5), 4) AS p50, round(quantile_cont({c}, 0.75), 4) AS p75,
        CAST(max({c}) AS DOUBLE) AS "max" FROM {source}"""

@@ -85,7 +85,7 @@ SELECT p_partkey, upper({_T}) AS upper_text, lower({_T}) AS lower_text, {_TITLE}
   CASE WHEN length({_T}) < 24 THEN rpad({_T}, 24, '.') ELSE {_T} END AS padded,
   CASE WHEN length(CAST(p_partkey AS VARCHAR)) < 6 THEN lpad(CAST(p_partkey AS VARCHAR), 6, '0')
        ELSE CAST(p_partkey AS VARCHAR) END AS zero_filled,
-  hex(encode(left(trim({_T}), 3))) AS encoded, true AS decodes_back,
+  hex(encode(trim({_T}))) AS encoded, true AS decodes_back,
   coalesce(nullif(trim(regexp_replace({_T}, '[^0-9]', '', 'g')), ''), 'Anonymous') AS digits_or_default
 FROM (SELECT p_partkey, '  ' || p_name || ' o''neil-' || p_brand || '  ' AS name FROM part) t""",
     "text_search_replace": """

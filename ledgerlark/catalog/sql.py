@@ -10,6 +10,7 @@ def money(expression: str) -> str:
     return f"CAST(sum(CAST({expression} AS {MONEY})) AS DOUBLE)"
 
 
+# Fixed values.
 NOT_A_PRODUCT = (
     "'DOTCOM POSTAGE', 'POSTAGE', 'CARRIAGE', 'Manual', 'AMAZON FEE', 'Adjust bad debt'"
 )
@@ -30,7 +31,8 @@ SELECT CASE WHEN l_orderkey % 37 = 5 THEN 'C' || CAST(l_orderkey AS VARCHAR)
             WHEN l_partkey % 100 = 4 AND l_orderkey % 3 = 0 THEN NULL
             WHEN l_partkey % 50 = 7 AND l_orderkey % 2 = 0 THEN p_name || ' ' || p_brand || ' '
             ELSE p_name || ' ' || p_brand END AS Description,
-       CAST(CASE WHEN l_orderkey % 37 = 5 THEN -l_quantity ELSE l_quantity END AS INT) AS Quantity,
+       CAST(CASE WHEN l_orderkey % 37 = 5 OR l_orderkey % 41 = 7 AND l_linenumber = 1
+                 THEN -l_quantity ELSE l_quantity END AS INT) AS Quantity,
        o_orderdate AS InvoiceDate,
        CAST(CASE WHEN (l_orderkey + l_partkey) % 211 = 0 THEN 0.0
                  ELSE (l_partkey % 900 + 100) / 100.0 END AS DOUBLE) AS UnitPrice,

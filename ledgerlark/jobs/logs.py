@@ -6,13 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions import half_even
 
+# The log format above and the codes that count as errors.
 ERRORS = ("404", "500")
 
 
 def parsed(lines: DataFrame, column: str = "value") -> DataFrame:
     return lines.selectExpr(
         "*",
-        f"regexp_extract({column}, 'status=([0-9]+)', 1) AS status",
+        f"""CASE WHEN {column} RLIKE 'status=[0-9]{{3}}(?![0-9])'
+                 THEN regexp_extract({column}, 'status=([0-9]{{3}})(?![0-9])', 1)
+                 WHEN {column} RLIKE 'status=[0-9]' THEN 'other' ELSE '' END AS status""",
         f"try_to_timestamp(split_part({column}, ' status=', 1), 'yyyy-MM-dd HH:mm:ss') AS happened",
     )
 
@@ -24,7 +27,9 @@ def status_counts(lines: DataFrame) -> DataFrame:
 def log_summary(lines: DataFrame, position: str) -> DataFrame:
     """One row: requests, error rate, the first line's time, and all of it as JSON.
 
-    Lines fold to one row per status before the breakdown is put together.
+    Lines fold to one row per status before the breakdown is put together: a thousand
+    three-digit codes at most, ``other`` for longer or shorter ones, and an empty name for
+    lines without a status.
     """
     by_status = parsed(lines).groupBy("status").agg(
         F.count(F.lit(1)).alias("n"), F.expr(f"min_by(struct({position} AS p, happened), {position})").alias("f")

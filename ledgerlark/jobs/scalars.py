@@ -28,7 +28,7 @@ def text_normalise(frame: DataFrame, key: str, text: str) -> DataFrame:
         # Padding never shortens: longer text stays as it is.
         f"IF(length({text}) < 24, rpad({text}, 24, '.'), {text}) AS padded",
         f"IF(length({key}) < 6, lpad(string({key}), 6, '0'), string({key})) AS zero_filled",
-        f"hex(encode(left(trim({text}), 3), 'UTF-8')) AS encoded",
+        f"hex(encode(trim({text}), 'UTF-8')) AS encoded",
         f"decode(encode({text}, 'UTF-8'), 'UTF-8') = {text} AS decodes_back",
         f"coalesce(nullif(trim(regexp_replace({text}, '[^0-9]', '')), ''), 'Anonymous') AS digits_or_default",
     )

@@ -18,15 +18,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DoubleType, FloatType, IntegralType
+from pyspark.sql.types import ArrayType, DataType, DoubleType, FloatType, IntegralType
 
-from ledgerlark.functions import MONEY
 from ledgerlark.operators.settle import settle
 
 RANGE = "_range"
 ROWS_PER_RANGE = 200_000
 SAMPLE_PER_RANGE = 60
-MOST_RANGES = 5_000
+# The cut points travel in the plan.  Beyond 4e9 rows ranges grow instead; no row is lost.
+MOST_RANGES = 20_000
 _STAMP = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 _JSON_TIMES = {"timestampFormat": _STAMP, "timestampNTZFormat": _STAMP}
 
@@ -55,8 +55,7 @@ def spread_in_order(
     keys = frame.select(key.alias("_key"))
     rows = keys.count()
     if ranges is None:
-        tasks = int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        ranges = min(rows // ROWS_PER_RANGE, 2 * tasks, MOST_RANGES)
+        ranges = min(rows // ROWS_PER_RANGE, MOST_RANGES)
     ranges = max(ranges, 2)
     fraction = min(1.0, ranges * SAMPLE_PER_RANGE / max(rows, 1))
     cut_points = keys.sample(fraction, seed=1).agg(
@@ -89,18 +88,23 @@ def running_over(
     partition_by: Sequence[str] = (),
     running: Mapping[str, tuple[str, str]] | None = None,
     number: str = "row_no",
+    exact: DataType | None = None,
+    whole: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Add a 1-based row number and running aggregates to a frame spread in order.
 
     ``running`` maps an output name to ``(kind, column)``, kind being ``sum``, ``max``,
-    ``min`` or ``product``.  Sums of doubles are added as decimals and are exact.
+    ``min`` or ``product``.  Doubles are added as doubles; with a decimal type in ``exact``
+    they are added as such, which does not depend on the order of tasks but cuts what the
+    type cannot hold.  ``whole`` maps a name to a running sum whose total over the row's
+    partition it shall be.
     """
     running = dict(running or {})
     kinds = {name: kind for name, (kind, _) in running.items()}
     types = {f.name: f.dataType for f in placed.schema.fields}
     inputs = {
-        name: F.col(column).cast(MONEY)
-        if kind == "sum" and isinstance(types[column], (DoubleType, FloatType))
+        name: F.col(column).cast(exact)
+        if exact is not None and kind == "sum" and isinstance(types[column], (DoubleType, FloatType))
         else F.col(column)
         for name, (kind, column) in running.items()
     }
@@ -113,7 +117,8 @@ def running_over(
     )
     # What lies before each range.  Only the first partition of a range can have begun
     # in an earlier one, so at most one row per range is left and goes to every task.
-    # Without partitions there is one row per range; they all fall into one group.
+    # Without partitions there is one row per range, so one task orders all ranges: a
+    # global window by intent, over MOST_RANGES rows at most.
     earlier = (
         Window.partitionBy(*(parts or [F.col(RANGE) < 0]))
         .orderBy(RANGE)
@@ -148,6 +153,18 @@ def running_over(
         elif kind == "sum" and isinstance(types[column], IntegralType):
             value = value.cast("bigint")
         outputs.append(value.alias(name))
+    if whole:
+        # Joined by range and partition, so that a hot partition stays spread.
+        everything = Window.partitionBy(*(parts or [F.col(RANGE) < 0]))
+        totals = added.select(
+            F.col(RANGE).alias("_tr"), *[F.col(p).alias(f"_tp{i}") for i, p in enumerate(parts)],
+            *[F.sum(f"_add_{n}").over(everything).alias(f"_all_{name}") for name, n in whole.items()],
+        )
+        same = F.col(RANGE) == F.col("_tr")
+        for i, part in enumerate(parts):
+            same = same & F.col(part).eqNullSafe(F.col(f"_tp{i}"))
+        shifted = shifted.join(totals, same)
+        outputs += [F.col(f"_all_{name}").alias(name) for name in whole]
     kept = [c for c in placed.columns if c != RANGE]
     return shifted.select(*kept, *outputs)
 
@@ -159,10 +176,11 @@ def in_order(
     running: Mapping[str, tuple[str, str]] | None = None,
     number: str = "row_no",
     ranges: int | None = None,
+    exact: DataType | None = None,
 ) -> DataFrame:
     """:func:`spread_in_order` followed by :func:`running_over`."""
     placed = spread_in_order(frame, order_by, partition_by, ranges)
-    return running_over(placed, order_by, partition_by, running, number)
+    return running_over(placed, order_by, partition_by, running, number, exact)
 
 
 def count_ranks(frame: DataFrame, count: str, rank: str = "rank", ranges: int | None = None) -> DataFrame:
@@ -204,11 +222,9 @@ def quantiles_of_folded(
     """
     groups, order = list(by), ["_value"]
     placed = spread_in_order(copies, order, groups, ranges)
-    upto = running_over(placed, order, groups, running={"_upto": ("sum", "_copies")})
-    if groups:
-        upto = upto.join(copies.groupBy(*groups).agg(F.sum("_copies").alias("_n")), groups)
-    else:
-        upto = upto.withColumn("_n", copies.agg(F.sum("_copies")).scalar())
+    upto = running_over(
+        placed, order, groups, running={"_upto": ("sum", "_copies")}, whole={"_n": "_upto"}
+    )
 
     edges, values = [], groups[:]
     for name, p in probabilities.items():
@@ -237,8 +253,9 @@ def exact_quantiles(
 
 
 def long_form(frame: DataFrame, columns: Sequence[str], as_type: str = "double") -> DataFrame:
-    """One row (Column, Value) per listed column and non-null value."""
-    pairs = ", ".join(f"'{c}', {as_type}(`{c}`)" for c in columns)
+    """One row (Column, Value) per listed column and value; nulls and NaN are none."""
+    value = "nanvl(double(`{0}`), NULL)" if as_type == "double" else as_type + "(`{0}`)"
+    pairs = ", ".join(f"'{c}', {value.format(c)}" for c in columns)
     return frame.selectExpr(f"stack({len(columns)}, {pairs}) AS (Column, Value)").filter(
         "Value IS NOT NULL"
     )

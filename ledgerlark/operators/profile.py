@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType, StringType
 
-from ledgerlark.functions import MONEY, percent_of
+from ledgerlark.functions import percent_of
 from ledgerlark.operators.ordered import folded_values, long_form, quantiles_of_folded
 from ledgerlark.operators.settle import settle
 
@@ -37,53 +37,57 @@ def null_profile(frame: DataFrame) -> DataFrame:
 def describe_numbers(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """count, mean, sample deviation, min, exact quartiles and max, a row per column.
 
-    The frame is read once and folded to distinct values; the rest works on those.
+    Missing values and NaN are not counted; a column without values has count 0 and
+    nulls.  Moments come from one aggregate over all columns, quartiles from values
+    folded to distinct ones; both are a row per column when they meet.
     """
-    long = long_form(frame, list(columns or numeric_columns(frame)))
-    copies = folded_values(long, "Value", by=["Column"])
-    totals = copies.groupBy("Column").agg(
-        F.sum("_copies").alias("count"),
-        F.sum((F.col("_value") * F.col("_copies")).cast(MONEY)).cast("double").alias("_sum"),
-        F.min("_value").alias("min"),
-        F.max("_value").alias("max"),
+    names = list(columns or numeric_columns(frame))
+    measures = {"mean": "avg", "std": "stddev_samp", "min": "min", "max": "max"}
+    value = "nanvl(double(`{0}`), NULL)"
+    moments = frame.agg(*[
+        F.expr(f"{function}({value.format(c)})").alias(f"{name}_{i}")
+        for i, c in enumerate(names)
+        for name, function in {"count": "count", **measures}.items()
+    ])
+    rows = ", ".join(
+        f"'{c}', count_{i}, mean_{i}, std_{i}, min_{i}, max_{i}" for i, c in enumerate(names)
     )
-    means = totals.selectExpr("*", "_sum / count AS mean")
-    spread = (
-        copies.join(means.select("Column", "mean"), "Column")
+    moments = moments.selectExpr(f"stack({len(names)}, {rows}) AS (Column, count, mean, std, min, max)")
+    copies = folded_values(long_form(frame, names), "Value", by=["Column"])
+    quartiles = quantiles_of_folded(copies, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["Column"])
+    kept = ["count", "mean", "std", "min", "p25", "p50", "p75", "max"]
+    return (
+        moments.unionByName(quartiles, allowMissingColumns=True)
         .groupBy("Column")
-        .agg(F.expr("sum(_copies * (_value - mean) * (_value - mean))").alias("_squares"))
-    )
-    quartiles = quantiles_of_folded(
-        copies, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, by=["Column"]
-    )
-    return means.join(spread, "Column").join(quartiles, "Column").selectExpr(
-        "Column",
-        "count",
-        "mean",
-        "sqrt(try_divide(_squares, double(count - 1))) AS std",
-        "min",
-        "p25",
-        "p50",
-        "p75",
-        "max",
+        .agg(*[F.max(c).alias(c) for c in kept])
     )
 
 
 def describe_texts(frame: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """count, distinct values, most frequent value and its count, a row per column."""
+    """count, distinct values, most frequent value and its count, a row per column.
+
+    A column without values has count and unique 0 and nulls.
+    """
+    names = list(columns or text_columns(frame))
     copies = (
-        long_form(frame, list(columns or text_columns(frame)), "string")
+        long_form(frame, names, "string")
         .groupBy("Column", "Value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return copies.groupBy("Column").agg(
-        F.sum("n").alias("count"),
-        F.count(F.lit(1)).alias("unique"),
-        F.expr("min_by(Value, struct(-n, Value))").alias("top"),
+    return copies.unionByName(_named(frame, names), allowMissingColumns=True).groupBy("Column").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"),
+        F.count("Value").alias("unique"),
+        F.expr("min_by(Value, struct(-n, Value)) FILTER (WHERE n IS NOT NULL)").alias("top"),
         F.max("n").alias("freq"),
     )
 
 
+def _named(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """A row (Column) per name, so that columns without values are told of as well."""
+    each = ", ".join(f"'{c}'" for c in columns)
+    return frame.sparkSession.range(1).selectExpr(f"explode(array({each})) AS Column")
+
+
 def duplicate_rows(frame: DataFrame) -> DataFrame:
     """How many rows repeat an earlier identical row; missing values count as equal."""
     copies = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_n"))
@@ -109,8 +113,9 @@ def distinct_counts(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
     return (
         long_form(frame, columns, "string")
         .distinct()
+        .unionByName(_named(frame, columns), allowMissingColumns=True)
         .groupBy("Column")
-        .agg(F.count(F.lit(1)).alias("DistinctValues"))
+        .agg(F.count("Value").alias("DistinctValues"))
     )
 
 
@@ -130,6 +135,7 @@ def largest_by_size(frame: DataFrame, column: str, top_n: int, *ties: str) -> Da
 
 def with_invoice_kind(lines: DataFrame) -> DataFrame:
     """Cancellation, other letters anywhere (a missing number too), or numbers only."""
+    # The three texts.
     return lines.selectExpr(
         "*",
         f"""CASE WHEN {CANCELLED} THEN 'C-prefix (cancellation)'

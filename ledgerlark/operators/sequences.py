@@ -26,7 +26,7 @@ def sliding_windows(
     """Every full run of ``length`` consecutive values per key, by first position."""
     numbered = in_order(frame, order_by, [key], number="position", ranges=ranges)
     blocks = overlapping_blocks(
-        numbered.select(key, "position", value), "position", length - 1, block_rows
+        numbered.select(key, "position", value), "position", length - 1, max(block_rows, length - 1)
     )
     ahead = Window.partitionBy(key, "block").orderBy("position").rowsBetween(0, length - 1)
     return (
@@ -122,25 +122,48 @@ def grouped_members(
 
 
 def pair_counts(
-    baskets: DataFrame, basket: str, item: str, ordered: bool = False, most_items: int = 64
+    baskets: DataFrame,
+    basket: str,
+    item: str,
+    ordered: bool = False,
+    min_baskets: int = 1,
+    block_items: int = 500,
 ) -> DataFrame:
-    """In how many baskets two different items occur together.
+    """In how many baskets two different items occur together, if in ``min_baskets`` or more.
 
-    For categories: there may be at most ``most_items`` different ones, which is
-    checked.  Baskets fold to their set of categories and equal sets are counted once,
-    so pairs are formed per distinct set and not per basket or row.
+    An item in fewer baskets cannot be in such a pair and is left out first.  The items
+    of a basket are cut into blocks of about ``block_items``, and pairs are formed between
+    two blocks at a time, so no basket has to fit into one row or task.  Baskets of one
+    block fold to their set of items, and equal sets are counted once.
     """
-    kinds = baskets.select(item).distinct().limit(most_items + 1).count()
-    if kinds > most_items:
-        raise ValueError(f"{item} has more than {most_items} different values")
-    sets = (
-        baskets.groupBy(basket)
-        .agg(F.sort_array(F.collect_set(item)).alias("items"))
-        .groupBy("items")
-        .agg(F.count(F.lit(1)).alias("n"))
+    held = baskets.filter(F.col(item).isNotNull()).select(
+        F.col(basket).alias("_basket"), F.col(item).alias("_item")
+    ).distinct()
+    if min_baskets > 1:
+        often = held.groupBy("_item").count().filter(F.col("count") >= min_baskets).select("_item")
+        held = held.join(often, "_item", "left_semi")
+    large = held.groupBy("_basket").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > block_items)
+    large = large.select(F.col("_basket").alias("_large"), F.ceil(F.col("_n") / block_items).alias("_blocks"))
+    placed = held.join(large, F.col("_basket").eqNullSafe(F.col("_large")) & F.col("_blocks").isNotNull(), "left")
+    block = F.pmod(F.xxhash64("_item"), F.coalesce("_blocks", F.lit(1)))
+    lists = placed.groupBy("_basket", "_blocks", block.alias("_block")).agg(
+        F.sort_array(F.collect_list("_item")).alias("items")
     )
-    later = "slice(items, i + 2, size(items))" if not ordered else "array_remove(items, a)"
-    pairs = sets.selectExpr("n", "items", "posexplode(items) AS (i, a)").selectExpr(
-        "n", "a", f"explode({later}) AS b"
+    sets = lists.filter("_blocks IS NULL").groupBy("items").agg(F.count(F.lit(1)).alias("n"))
+    small = sets.selectExpr("n", "items", "posexplode(items) AS (i, a)").selectExpr(
+        "a", "explode(slice(items, i + 2, size(items))) AS b", "n"
     )
-    return pairs.groupBy("a", "b").agg(F.sum("n").alias("n"))
+    met = lists.filter("_blocks IS NOT NULL").selectExpr(
+        "_basket", "_block", "items", "explode(sequence(0, _blocks - 1)) AS other"
+    ).selectExpr("_basket", "least(_block, other) AS i", "greatest(_block, other) AS j", "_block", "items")
+    two = met.groupBy("_basket", "i", "j").agg(
+        F.min_by("items", "_block").alias("first"), F.max_by("items", "_block").alias("second")
+    )
+    wide = two.selectExpr("i", "j", "second", "explode(first) AS x").selectExpr(
+        "i", "j", "x", "explode(second) AS y"
+    ).filter("i < j AND x <> y OR x < y").selectExpr("least(x, y) AS a", "greatest(x, y) AS b", "1 AS n")
+    pairs = small.unionByName(wide).groupBy("a", "b").agg(F.sum("n").alias("n"))
+    pairs = pairs.filter(F.col("n") >= min_baskets)
+    if ordered:
+        pairs = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "n"))
+    return pairs

@@ -10,11 +10,12 @@ def union_of(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def intersection_of(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.intersect(right)
+    """Values on both sides; rows fold before the shuffle, so no hot value is joined."""
+    return _sides(left, right).filter("on_left AND on_right").drop("on_left", "on_right")
 
 
 def difference_of(left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.subtract(right)
+    return _sides(left, right).filter("on_left AND NOT on_right").drop("on_left", "on_right")
 
 
 def _sides(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,7 +25,7 @@ def use_checkpoint_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
-            if not context.master.startswith("local"):
+            if not re.fullmatch(r"local(\[.*\])?", context.master):
                 raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
             folder = tempfile.mkdtemp(prefix="ledgerlark-")
         context.setCheckpointDir(folder)

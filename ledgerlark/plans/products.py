@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlark.functions import exact_sum
+from ledgerlark.functions import MONEY, exact_sum
 from ledgerlark.operators.grain import product_grain
 from ledgerlark.operators.ordered import count_ranks, in_order
 from ledgerlark.operators.settle import settle
@@ -52,6 +52,7 @@ def pareto_curve(products: DataFrame, ranges: int | None = None) -> DataFrame:
         running={"cumulative_revenue": ("sum", "Revenue")},
         number="product_rank",
         ranges=ranges,
+        exact=MONEY,
     )
     return ordered.select(
         "Description",

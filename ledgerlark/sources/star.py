@@ -62,7 +62,8 @@ def sales_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
                     WHEN l_partkey % 100 = 4 AND l_orderkey % 3 = 0 THEN NULL
                     WHEN l_partkey % 50 = 7 AND l_orderkey % 2 = 0 THEN p_name || ' ' || p_brand || ' '
                     ELSE p_name || ' ' || p_brand END AS Description""",
-            "int(IF(l_orderkey % 37 = 5, -l_quantity, l_quantity)) AS Quantity",
+            """int(IF(l_orderkey % 37 = 5 OR l_orderkey % 41 = 7 AND l_linenumber = 1,
+                       -l_quantity, l_quantity)) AS Quantity""",
             "o_orderdate AS InvoiceDate",
             """IF((l_orderkey + l_partkey) % 211 = 0, 0D,
                   double(l_partkey % 900 + 100) / 100D) AS UnitPrice""",

@@ -85,6 +85,8 @@ def test_log_lines(spark):
          (5, "2024-01-15 10:03:05 status=200 path=/home")],
         "pos int, value string",
     )
+    odd = lines.unionByName(spark.createDataFrame([(6, "2024-01-15 10:04:00 status=12345 path=/x"), (7, "no status")], "pos int, value string"))
+    assert dict(map(tuple, logs.status_counts(odd).collect())) == {"200": 3, "404": 1, "500": 1, "other": 1, "": 1}
     got = logs.log_summary(lines, "pos").first()
     assert (got.total_requests, got.error_rate) == (5, 0.4)
     assert got.first_event == "January 15, 2024 at 10:02:11"

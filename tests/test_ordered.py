@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 
 from ledgerlark.functions import MONEY
 from ledgerlark.operators.ordered import count_ranks, exact_quantiles, in_order, medians_of
-from ledgerlark.operators import sequences
+from ledgerlark.operators import profile, sequences
 
 
 @pytest.fixture(scope="module")
@@ -122,12 +122,66 @@ def test_running_product_and_pages(spark, skewed, rows):
     assert joined == sorted(r.id for r in skewed.filter("key = 'hot'").collect())
 
 
-def test_pairs_are_counted_once_per_basket_and_domain_is_checked(spark, rows):
+def test_pairs_are_counted_once_per_basket(spark, rows):
     baskets = spark.createDataFrame(
         [(1, "a"), (1, "b"), (1, "a"), (2, "a"), (2, "b"), (2, "c"), (3, "c")], "basket int, item string"
     )
     assert rows(sequences.pair_counts(baskets, "basket", "item")) == [("a", "b", 2), ("a", "c", 1), ("b", "c", 1)]
     ordered = rows(sequences.pair_counts(baskets, "basket", "item", ordered=True))
     assert len(ordered) == 6 and ("b", "a", 2) in ordered
-    with pytest.raises(ValueError):
-        sequences.pair_counts(baskets, "basket", "item", most_items=2)
+    assert rows(sequences.pair_counts(baskets, "basket", "item", min_baskets=2)) == [("a", "b", 2)]
+
+
+def test_pairs_of_many_kinds_and_of_one_large_basket(spark, rows):
+    baskets = spark.createDataFrame(
+        [(1, f"i{k:03}") for k in range(200)] + [(None, "i000"), (None, "i001"), (2, "i000"), (2, None)],
+        "basket int, item string",
+    )
+    for block_items in (500, 16):
+        got = rows(sequences.pair_counts(baskets, "basket", "item", block_items=block_items))
+        assert len(got) == 200 * 199 // 2 and got[0] == ("i000", "i001", 2)
+        assert all(a < b and n == 1 for a, b, n in got[1:])
+
+
+def test_window_longer_than_a_block(spark):
+    frame = spark.range(1, 41).selectExpr("id", "'k' AS key", "id AS v")
+    got = sequences.sliding_windows(frame, "key", ["id"], "v", 30, ranges=3, block_rows=7).orderBy("position").collect()
+    assert [r.window for r in got] == [list(range(p, p + 30)) for p in range(1, 12)]
+
+
+def test_small_and_large_numbers_are_summed_whole(spark, rows):
+    small = spark.createDataFrame([(i, "a", v) for i, v in enumerate([1e-8, 3e-8, 5e-8])], "id bigint, key string, v double")
+    got = sequences.running_values(small, "key", ["id"], "v", ranges=2).orderBy("id").collect()
+    assert [r.running_sum for r in got] == pytest.approx([1e-8, 4e-8, 9e-8], rel=1e-12)
+    large = spark.createDataFrame([(4e18, None, float("nan")), (5e18, None, 1.0), (6e18, None, 3.0)], "a double, b double, c double")
+    told = {r.Column: r for r in profile.describe_numbers(large).collect()}
+    assert (told["a"].mean, told["a"].p50, told["a"]["count"]) == (5e18, 5e18, 3)
+    assert (told["b"]["count"], told["b"].mean, told["b"].p50) == (0, None, None)
+    assert (told["c"]["count"], told["c"].mean, told["c"].max, told["c"].p50) == (2, 2.0, 3.0, 2.0)
+    tiny = {r.Column: r for r in profile.describe_numbers(small.select("v")).collect()}["v"]
+    assert tiny.mean == pytest.approx(3e-8) and tiny.std == pytest.approx(2e-8)
+
+
+def test_columns_without_values_are_told_of(spark):
+    empty = spark.createDataFrame([], "a double, t string, u string")
+    assert [(r.Column, r["count"]) for r in profile.describe_numbers(empty).collect()] == [("a", 0)]
+    assert sorted((r.Column, r["count"], r.unique, r.top) for r in profile.describe_texts(empty).collect()) == [
+        ("t", 0, 0, None), ("u", 0, 0, None),
+    ]
+    some = spark.createDataFrame([("x", None), ("x", None)], "t string, u string")
+    assert sorted(map(tuple, profile.distinct_counts(some, ["t", "u"]).collect())) == [("t", 1), ("u", 0)]
+
+
+def test_no_join_on_a_column_name(spark):
+    frame = spark.range(100).selectExpr("double(id) AS a", "double(id % 7) AS b")
+    held = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = profile.describe_numbers(frame)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+    import re
+
+    for keys in re.findall(r"SortMergeJoin(?:\(skew=true\))? \[([^]]*)\]", plan):
+        assert "_range" in keys or "_r" in keys
