@@ -30,7 +30,8 @@ from ledgerlark.llm.shared import stage, table
 from ledgerlark.llm.words import mix
 
 TABLES, BLOCKS, PROBES, SCALE = 8, 2, 4, 3.0
-SKETCH_BITS, MOST_DIFFERENT = 128, 42
+# Vectors at a cosine of 0.9 differ in 73.5 of 512 signs on average, deviation 7.9.
+SKETCH_BITS, MOST_DIFFERENT = 512, 113
 LARGE_CELL = 2_000
 
 
