@@ -40,6 +40,10 @@ HEADLINE = (
     "event_runs",
     "brand_roi_ranking",
     "brand_pairs",
+    "vip_lines",
+    "chart_order_histogram_marks",
+    "chart_order_box_plot",
+    "reachable_suppliers_and_customers",
 )
 
 

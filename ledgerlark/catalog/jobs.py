@@ -7,12 +7,12 @@ import uuid
 from pyspark.sql import functions as F
 
 from ledgerlark.catalog.sql import money, query
-from ledgerlark.functions import exact_sum
+from ledgerlark.functions import MONEY, exact_sum
 from ledgerlark.jobs import logs, people, rankings, reconcile
 from ledgerlark.operators import clean as rules, profile, select, sequences, sets
 from ledgerlark.operators.graph import reachable_from
 
-from ledgerlark.operators.settle import use_checkpoint_folder
+from ledgerlark.operators.settle import settle, use_checkpoint_folder
 from ledgerlark.plans import charts, markets, months
 from ledgerlark.sources import (
     append_lines,
@@ -398,12 +398,17 @@ def event_runs(spark, sf_dir):
 def _brands(spark, sf_dir):
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_retailprice")
     lines = table(spark, sf_dir, "lineitem").select("l_partkey", "l_quantity", "l_extendedprice", "l_discount")
+    # Lines fold to parts before anything is joined, so a part that sells often is one row.
+    sold = lines.groupBy("l_partkey").agg(
+        F.sum("l_quantity").alias("quantity"),
+        F.sum(F.expr("l_extendedprice * (1 - l_discount)").cast(MONEY)).alias("revenue"),
+    )
     return (
-        lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        sold.join(part, F.col("l_partkey") == F.col("p_partkey"))
         .groupBy(F.col("p_brand").alias("name"))
         .agg(
-            exact_sum(F.expr("l_quantity * p_retailprice")).alias("spend"),
-            exact_sum(F.expr("l_extendedprice * (1 - l_discount)")).alias("revenue"),
+            exact_sum(F.expr("quantity * p_retailprice")).alias("spend"),
+            F.sum("revenue").cast("double").alias("revenue"),
         )
     )
 
@@ -497,6 +502,7 @@ def reachable_suppliers_and_customers(spark, sf_dir):
         table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"),
         F.col("l_orderkey") == F.col("o_orderkey"),
     ).selectExpr("'C' || o_custkey AS c", "'S' || l_suppkey AS s", "o_custkey")
+    trades = settle(trades.distinct())
     edges = trades.selectExpr("c AS src", "s AS dst").union(trades.selectExpr("s AS src", "c AS dst"))
     start = trades.agg(F.min("o_custkey").alias("k")).selectExpr("'C' || k AS node")
     return reachable_from(edges, start)

@@ -235,11 +235,11 @@ def quantity_value_counts(spark, sf_dir):
 
 
 def lines_with_smallest_quantity(spark, sf_dir):
-    return profile.rows_at_extreme(sales_lines(spark, sf_dir), "Quantity", largest=False).select(*LINE_COLUMNS)
+    return profile.rows_at_extreme(settle(sales_lines(spark, sf_dir).select(*LINE_COLUMNS)), "Quantity", largest=False)
 
 
 def lines_with_largest_price(spark, sf_dir):
-    return profile.rows_at_extreme(sales_lines(spark, sf_dir), "UnitPrice", largest=True).select(*LINE_COLUMNS)
+    return profile.rows_at_extreme(settle(sales_lines(spark, sf_dir).select(*LINE_COLUMNS)), "UnitPrice", largest=True)
 
 
 def lines_by_quantity_size(spark, sf_dir):

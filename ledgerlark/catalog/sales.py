@@ -9,6 +9,7 @@ from ledgerlark.functions import exact_sum
 from ledgerlark.operators import clean as rules
 from ledgerlark.plans import charts, customers as q5, markets, months, orders as q4, products as q3
 from ledgerlark.operators.grain import customer_grain, visit_grain
+from ledgerlark.operators.settle import settle
 from ledgerlark.sources import sales_lines
 
 # The order sizes of the tables at hand; the report's own sizes are the default.
@@ -220,18 +221,21 @@ def customer_pareto(spark, sf_dir):
     return q5.customer_pareto(_customers(spark, sf_dir))
 
 
+def _lines_and_vips(spark, sf_dir):
+    """Cleaned lines, derived once, and the customers who are VIPs."""
+    columns = ("InvoiceNo", "StockCode", "InvoiceDate", "CustomerID", "Revenue")
+    lines = settle(_clean(spark, sf_dir).select(*columns))
+    return lines, q5.vip_ids(q5.customers_of(visit_grain(lines)))
+
+
 def vip_lines(spark, sf_dir):
-    lines = _clean(spark, sf_dir)
-    return q5.lines_of_vips(lines, q5.vip_ids(q5.customers_of(visit_grain(lines)))).select(
-        "CustomerID", "InvoiceNo", "StockCode", "Revenue"
-    )
+    lines, vips = _lines_and_vips(spark, sf_dir)
+    return q5.lines_of_vips(lines, vips).select("CustomerID", "InvoiceNo", "StockCode", "Revenue")
 
 
 def non_vip_lines(spark, sf_dir):
-    lines = _clean(spark, sf_dir)
-    return q5.lines_of_others(lines, q5.vip_ids(q5.customers_of(visit_grain(lines)))).select(
-        "CustomerID", "InvoiceNo", "StockCode", "Revenue"
-    )
+    lines, vips = _lines_and_vips(spark, sf_dir)
+    return q5.lines_of_others(lines, vips).select("CustomerID", "InvoiceNo", "StockCode", "Revenue")
 
 
 def vip_monthly_revenue(spark, sf_dir):

@@ -41,4 +41,4 @@ def work_queue(tickets: DataFrame, arrived: str, priority: str, cancelled: str)
     """
     oldest = tickets.agg(F.min(arrived)).scalar()
     waiting = tickets.filter(F.col(arrived) != oldest).filter(f"NOT coalesce({cancelled}, false)")
-    return numbered(waiting, [priority, arrived], number="place")
+    return numbered(settle(waiting), [priority, arrived], number="place")

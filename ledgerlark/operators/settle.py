@@ -2,21 +2,39 @@
 
 from __future__ import annotations
 
+import atexit
 import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_FOLDERS: set[str] = set()
+
 
 def settle(frame: DataFrame) -> DataFrame:
-    """Materialise ``frame`` once in the shared checkpoint folder and cut its lineage.
+    """Write ``frame`` once as Parquet in the shared checkpoint folder and read it back.
 
-    Used on grain frames (one row per product, invoice, customer, month, ...) that
-    feed totals, medians and rankings at once: the sales lines are read a single
-    time, and a lost executor costs a re-read of the grain, not of the lines.
+    Used on frames (one row per product, invoice, customer, month, ...) that feed totals,
+    medians and rankings at once: the sales lines are read a single time, and a lost
+    executor costs a re-read of the grain, not of the lines.  Readers take only the
+    columns and row groups they need.  The copies go when Python ends.
     """
-    use_checkpoint_folder(frame.sparkSession)
-    return frame.checkpoint(eager=True)
+    spark = frame.sparkSession
+    folder = f"{use_checkpoint_folder(spark).rstrip('/')}/settled-{spark.sparkContext.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove, spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    """Delete what this application has settled; a session that has ended leaves it."""
+    if spark.sparkContext._jsc is not None:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def use_checkpoint_folder(spark: SparkSession) -> str:

@@ -72,12 +72,10 @@ def _quadrants(frame, key, revenue, frequency, names, top_n):
     """High means strictly above the median, on both axes."""
     middle_revenue, middle_frequency = medians_of(frame, revenue, frequency)
     high, often = F.col(revenue) > middle_revenue, F.col(frequency) > middle_frequency
-    top = frame.orderBy(F.desc(revenue), key).limit(top_n).select(key, F.lit(True).alias("_top"))
-    return (
-        frame.join(top, key, "left")
-        .withColumn("Segment", _quadrant(high, often, names))
-        .withColumn("is_top", F.coalesce("_top", F.lit(False)))
-        .drop("_top")
+    place = F.struct((-F.col(revenue)).alias("r"), F.col(key).alias("k"))
+    last = frame.orderBy(F.desc(revenue), key).limit(top_n).agg(F.max(place)).scalar()
+    return frame.withColumn("Segment", _quadrant(high, often, names)).withColumn(
+        "is_top", F.coalesce(place <= last, F.lit(False))
     )
 
 

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerlark.operators.clean import clean
-from ledgerlark.operators.settle import settle, use_checkpoint_folder
+from ledgerlark.operators.settle import settle
 from ledgerlark.plans import charts, customers as q5, markets, months, orders as q4, products as q3
 from ledgerlark.sources import load_raw, write_chart_frames, write_summaries
 
@@ -19,9 +17,7 @@ def staged(lines: DataFrame) -> DataFrame:
 
     The source is parsed and cleaned once; each grain then reads only its own columns.
     """
-    path = f"{use_checkpoint_folder(lines.sparkSession)}/lines-{uuid.uuid4()}"
-    lines.select(*LINE_COLUMNS).write.parquet(path)
-    return lines.sparkSession.read.parquet(path)
+    return settle(lines.select(*LINE_COLUMNS))
 
 
 def summaries(grains: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, list[str]]]:
