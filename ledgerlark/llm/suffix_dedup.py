@@ -31,7 +31,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ledgerlark.llm.arrow_groups import sorted_groups
 from ledgerlark.llm.shared import attach, stage, table, with_document_key
@@ -40,7 +40,7 @@ from ledgerlark.llm.words import mix
 LENGTH, GRAM = 200, 64
 CHUNK = 1 << 18
 CONTEXTS_PER_RANGE = 10_000
-MOST_CONTEXTS = 20_000
+MOST_CONTEXTS = 60_000
 _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64))
 
@@ -436,7 +436,7 @@ def repeated_spans(
     )
     known = records.filter("context IS NOT NULL").select("h", "c1", "c2", "n", "context")
     heavy = stage(
-        known.groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") > most_contexts).select("h")
+        known.select("h", "c1", "c2").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") > most_contexts).select("h")
     )
     ranges = max(1, -(-known.count() // CONTEXTS_PER_RANGE))
     spans = (
@@ -453,10 +453,14 @@ def repeated_spans(
         twice = stage(
             single.groupBy("s1", "s2", "o").agg(F.sum("n").alias("n")).filter("n > 1").select("s1", "s2", "o")
         )
+        found_at = single.join(twice, ["s1", "s2", "o"], "left_semi").select("c1", "c2", "o").distinct()
+        # Neighbouring places of one context are one range, as in a merged run.
+        in_context = Window.partitionBy("c1", "c2").orderBy("o")
+        island = F.col("o") - F.row_number().over(in_context)
         spans = spans.unionByName(
-            single.join(twice, ["s1", "s2", "o"], "left_semi").select(
-                "c1", "c2", (-F.col("o")).alias("low"), (length - F.col("o")).alias("high")
-            ).distinct()
+            found_at.withColumn("island", island).groupBy("c1", "c2", "island").agg(
+                (-F.max("o")).alias("low"), (length - F.min("o")).alias("high")
+            ).drop("island")
         )
     spans = stage(spans)
     places = records.select("doc_id", "_t", "at", "c1", "c2").join(spans, ["c1", "c2"])
