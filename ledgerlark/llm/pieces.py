@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -108,13 +107,10 @@ class StreamingEncoder:
                 self.follows[before, piece] = known
         return known
 
-    def feed(self, text: str) -> None:
-        """Go on with more characters of a segment; every one has a piece."""
-        find, last, follows, reach = self.ids.get, self.last, self.follows.get, self.reach.get
-        begin = len(self.text)
-        self.text += text
-        held = self.text
-        for end in range(begin + 1, len(held) + 1):
+    def _extend(self, held: str, last: list[int]) -> None:
+        """The last piece of each further prefix of ``held``."""
+        find, follows, reach = self.ids.get, self.follows.get, self.reach.get
+        for end in range(len(last), len(held) + 1):
             start = end - reach(held[end - 2 : end], 1) if end > 1 else 0
             for at in range(start if start > 0 else 0, end):  # the longest piece first
                 piece = find(held[at:end])
@@ -126,9 +122,25 @@ class StreamingEncoder:
                         break
             else:
                 raise ValueError("a character without a piece")
-        if len(held) > self.check_every:
+
+    def feed(self, text: str) -> None:
+        """Go on with more characters of a segment; every one has a piece."""
+        self.text += text
+        self._extend(self.text, self.last)
+        if len(self.text) > self.check_every:
             self._commit()
 
+    def whole(self, text: str) -> list[int]:
+        """Ids of a short segment, without a stream."""
+        last, found, at = [-1], [], len(text)
+        self._extend(text, last)
+        while at > 0:
+            piece = last[at]
+            found.append(piece)
+            at -= len(self.pieces[piece])
+        found.reverse()
+        return found
+
     def _commit(self) -> None:
         """Commit the ids before the last boundary that all paths share."""
         end = len(self.text)
@@ -171,7 +183,7 @@ class Encoder:
 
         class Known(dict):
             def __missing__(known, segment):
-                found = tuple(self.segment(segment))
+                found = np.array(self.segment(segment), "<i4").tobytes()
                 if len(known) < kept and len(segment) <= 64:
                     known[segment] = found
                 return found
@@ -211,6 +223,8 @@ class Encoder:
         if not text:
             return []
         step = self.stream.check_every
+        if len(text) <= step:
+            return self.stream.whole(text)
         for a in range(0, len(text), step):
             self.stream.feed(text[a : a + step])
         return self.stream.finish()
@@ -219,18 +233,20 @@ class Encoder:
         if not text:
             return np.zeros(0, np.int32)
         segments = _SEGMENT.findall(BLANK + text.replace(" ", BLANK))
-        return np.array(list(chain.from_iterable(map(self.known.__getitem__, segments))), np.int32)
+        return np.frombuffer(b"".join(map(self.known.__getitem__, segments)), "<i4")
 
 
 _ENCODERS: dict[int, Encoder] = {}
 
 
-def _encoder_of_this_worker(vocabulary: tuple[list[str], list[float], int]) -> Encoder:
-    """The encoder that a worker process keeps from task to task, with what it has learnt."""
+def _encoder(vocabulary: tuple[list[str], list[float], int], kept: int, stays: bool) -> Encoder:
+    """A new encoder, or the one that this worker process keeps from task to task."""
+    if not stays:
+        return Encoder(*vocabulary, kept=kept)
     name = hash((tuple(vocabulary[0]), tuple(vocabulary[1]), vocabulary[2]))
     if name not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[name] = Encoder(*vocabulary)
+        _ENCODERS[name] = Encoder(*vocabulary, kept=kept)
     return _ENCODERS[name]
 
 
@@ -247,9 +263,15 @@ class Decoder:
         return joined.decode("utf-8", "surrogatepass").replace(BLANK, " ")[1:]
 
 
-def encoded(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
+def encoded(
+    docs: DataFrame, vocabulary: str = VOCABULARY, kept_segments: int = KEPT_SEGMENTS, stays: bool = True
+) -> DataFrame:
     """``(doc_id, ids, n_ids, round_trip)`` for every row of ``docs``.
 
+    ``kept_segments`` bounds what an encoder remembers, about 200 bytes each.  With ``stays``
+    worker processes keep it for later tasks; without, its memory is free after a task.
+    Neither changes a result.
+
     ``round_trip`` tells whether decoding gives the text back, which fails only for a
     text that holds the blank mark U+2581 itself.  Null or empty text: no ids, true.  A
     null doc_id stays null, repeated rows each get a row, other columns are ignored.
@@ -257,7 +279,7 @@ def encoded(docs: DataFrame, vocabulary: str = VOCABULARY) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(read_vocabulary(vocabulary))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, decoder = _encoder_of_this_worker(sent.value), Decoder(sent.value[0], sent.value[2])
+        encoder, decoder = _encoder(sent.value, kept_segments, stays), Decoder(sent.value[0], sent.value[2])
         for batch in batches:
             for first, texts in text_batches(batch.column("text").to_pylist()):
                 found = [encoder.encode(t) for t in texts]
