@@ -57,7 +57,8 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of what is left, with proof that they decode to the same text."""
-    return encoded(docs)
+    # Worker processes go on to other stages, so they do not keep what they have learnt.
+    return encoded(docs, kept_segments=150_000, stays=False)
 
 
 STAGES = [
