@@ -1,6 +1,7 @@
 """Remove repeated passages by sliding spans of consecutive sentences.
 
-Every run of ``span`` sentences of a document is hashed to 128 bits.  Runs that occur
+Every run of ``span`` sentences of a document, or more where they are short, is hashed to
+128 bits.  Runs that occur
 more than once anywhere are found by a count that combines before its shuffle, so a
 passage in a third of all documents is no heavier than others.  All occurrences but the
 first one, in (doc_id, position) order, lose their sentences.
@@ -24,7 +25,11 @@ def sentences(text: Column) -> Column:
 
 
 def span_rows(docs: DataFrame, span: int, min_chars: int) -> DataFrame:
-    """``(doc_id, _t, pos, a, b)``: hash (a, b) of the span that begins at sentence ``pos``."""
+    """``(doc_id, _t, pos, n, a, b)``: hash (a, b) of the ``n`` sentences from ``pos`` on.
+
+    ``n`` is ``span``, or more where those have fewer than ``min_chars`` characters: up to
+    the sentence that reaches them, or the last one of the document.
+    """
     cut = docs.select(
         "doc_id", "_t",
         F.transform(sentences(F.col("text")), lambda s: F.trim(s, F.lit(BLANKS))).alias("keys"),
@@ -34,24 +39,39 @@ def span_rows(docs: DataFrame, span: int, min_chars: int) -> DataFrame:
         F.transform("keys", lambda k: F.xxhash64(k)).alias("h"),
         F.transform("keys", lambda k: F.length(k)).alias("n"),
     )
-    count = F.least(F.lit(span), F.size("h"))
+    least = F.least(F.lit(span), F.size("h"))
+
+    def taken(i: Column) -> Column:
+        # No sentence but the first can be blank, so these always reach min_chars.
+        ahead = F.slice("n", i + 1, F.lit(span + min_chars))
+        begin = F.struct(F.lit(0).alias("chars"), F.lit(0).alias("n"))
+        longer = F.aggregate(
+            ahead, begin,
+            lambda acc, x: F.when(acc["chars"] >= min_chars, acc).otherwise(
+                F.struct((acc["chars"] + x).alias("chars"), (acc["n"] + 1).alias("n"))
+            ),
+            lambda acc: acc["n"],
+        )
+        chars = F.aggregate(F.slice("n", i + 1, least), F.lit(0), lambda x, y: x + y)
+        return F.when(chars >= min_chars, least).otherwise(longer)
+
+    runs = F.transform(
+        F.sequence(F.lit(0), F.size("h") - least), lambda i: F.struct(i.alias("pos"), taken(i).alias("n"))
+    )
     spans = hashed.select(
         "doc_id", "_t",
         F.explode(
             F.transform(
-                F.sequence(F.lit(0), F.size("h") - count),
-                lambda i: F.struct(
-                    i.alias("pos"),
-                    F.get(F.col("h"), i).alias("a"),
-                    F.xxhash64(F.slice("h", i + 2, F.greatest(count - 1, F.lit(0))), count).alias("b"),
-                    F.aggregate(F.slice("n", i + 1, count), F.lit(0), lambda x, y: x + y).alias("chars"),
+                runs,
+                lambda r: F.struct(
+                    r["pos"].alias("pos"), r["n"].alias("n"),
+                    F.get(F.col("h"), r["pos"]).alias("a"),
+                    F.xxhash64(F.slice("h", r["pos"] + 2, r["n"] - 1), r["n"]).alias("b"),
                 ),
             )
         ).alias("s"),
     )
-    return spans.select("doc_id", "_t", "s.pos", "s.a", "s.b", "s.chars").filter(
-        F.col("chars") >= min_chars
-    ).drop("chars")
+    return spans.select("doc_id", "_t", "s.pos", "s.n", "s.a", "s.b")
 
 
 def removed_sentences(docs: DataFrame, span: int = 2, min_chars: int = 60) -> DataFrame:
@@ -71,11 +91,11 @@ def removed_sentences(docs: DataFrame, span: int = 2, min_chars: int = 60) -> Da
         & (repeated["pos"] == first["_pos"]),
         "left_anti",
     )
-    return later.groupBy("doc_id", "_t").agg(F.collect_set("pos").alias("at")).select(
+    return later.groupBy("doc_id", "_t").agg(F.collect_set(F.struct("pos", "n")).alias("at")).select(
         "doc_id", "_t",
         F.array_sort(
             F.array_distinct(
-                F.flatten(F.transform("at", lambda p: F.sequence(p, p + (span - 1))))
+                F.flatten(F.transform("at", lambda r: F.sequence(r["pos"], r["pos"] + r["n"] - 1)))
             )
         ).alias("dropped"),
     )
@@ -85,9 +105,11 @@ def drop_repeated_passages(docs: DataFrame, span: int = 2, min_chars: int = 60)
     """``(doc_id, n_sentences, n_removed, keep_runs, kept_text)`` for every row of ``docs``.
 
     Sentences are compared without the blanks at their ends.  A span is ``span``
-    consecutive sentences with ``min_chars`` characters or more in all; a document with
-    fewer sentences is one span.  Sentences in any occurrence of a span but its first are
-    removed; what stays is left as it was.
+    consecutive sentences, and those that follow until it has ``min_chars`` characters or
+    the document ends; a document with fewer sentences is one span.  Sentences in any
+    occurrence of a span but its first are removed; what stays is left as it was.  Where
+    a passage does not end a document, its last sentences can stay if they have fewer than
+    ``min_chars`` characters, as their spans reach beyond it.
 
     Null or empty text: no sentences.  Null doc_id: a document like any other, before all
     others.  Repeated rows (same doc_id and text) count once and each get the result.
@@ -99,10 +121,7 @@ def drop_repeated_passages(docs: DataFrame, span: int = 2, min_chars: int = 60)
         sentences(F.col("text")).alias("_all"),
         F.coalesce("dropped", F.array().cast("array<int>")).alias("_dropped"),
     )
-    # A short document is one span that may name positions beyond its end.
     runs = joined.select(
-        "doc_id", "_all", F.filter("_dropped", lambda p: p < F.size("_all")).alias("_dropped")
-    ).select(
         "doc_id", "_all",
         F.size("_all").cast("bigint").alias("n_sentences"),
         F.size("_dropped").cast("bigint").alias("n_removed"),
