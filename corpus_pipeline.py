@@ -48,11 +48,10 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    hits = contaminated(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_doc"))
-    found, rows = stage(hits.distinct()), packed(docs)
-    return unpacked(
-        rows.join(found, rows["doc_id"].eqNullSafe(found["_doc"]), "left_anti"), docs.columns
-    )
+    rows = with_text_key(packed(docs))
+    hits = contaminated(rows, table(spark, sf_dir, "benchmark"), carry=("doc_id", "_t"))
+    found = stage(hits.select("doc_id", "_t").distinct())
+    return unpacked(attach(rows, found, "left_anti"), docs.columns)
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

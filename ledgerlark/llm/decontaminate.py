@@ -189,8 +189,9 @@ def contaminated(
     threshold: float = 0.6,
     overlap: float = 0.5,
     shard_items: int = 2_048,
+    carry: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
-    """``(doc_id, item_id, score, question_overlap, answer_overlap)`` of every item found in a document.
+    """``(*carry, item_id, score, question_overlap, answer_overlap)`` of every item found in a document.
 
     ``docs`` has doc_id and text, ``items`` item_id and text.  ``score`` is the BM25 score of
     the best passage as a share of the item's own; the overlaps are shares of the
@@ -198,8 +199,8 @@ def contaminated(
 
     Null or empty text on either side finds nothing, as do items without a word and items
     with a null item_id, which could not be named.  Items are told apart by item_id; of
-    several texts with one id the smallest is used.  Repeated documents each get their rows once per doc_id.  Other
-    columns are ignored.  Empty tables give no rows.
+    several texts with one id the smallest is used.  Documents are told apart by ``carry`` and get each
+    item once.  Other columns are ignored.  Empty tables give no rows.
     """
     spark = docs.sparkSession
     usable = items.filter("item_id IS NOT NULL").select("item_id", text_of().alias("text")).groupBy("item_id").agg(F.min("text").alias("text"))
@@ -207,8 +208,8 @@ def contaminated(
     n_items = weights.select("item_id").distinct().count()
     shards = max(1, -(-n_items // shard_items))
     shard = F.pmod(F.xxhash64(F.lit("shard"), "item_id"), F.lit(shards))
-    kinds = {f.name: f.dataType.simpleString() for f in [docs.schema["doc_id"], items.schema["item_id"]]}
-    schema = f"doc_id {kinds['doc_id']}, item_id {kinds['item_id']}, score double, question_overlap double, answer_overlap double"
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in [*(docs.schema[c] for c in carry), items.schema["item_id"]]]
+    schema = f"{', '.join(kinds)}, score double, question_overlap double, answer_overlap double"
     all_found = None
     for s in range(shards):
         # About ``shard_items`` items: the bound of what the driver and each task hold.
@@ -231,18 +232,18 @@ def contaminated(
                         t, i, *numbers = zip(*found, strict=True)
                         yield pa.RecordBatch.from_arrays(
                             [
-                                batch.column("doc_id").take(pa.array([first + x for x in t])),
+                                *[batch.column(c).take(pa.array([first + x for x in t])) for c in carry],
                                 pa.array([sent.value.ids[x] for x in i], item_kind),
                                 *[pa.array(x, pa.float64()) for x in numbers],
                             ],
-                            ["doc_id", "item_id", "score", "question_overlap", "answer_overlap"],
+                            [*carry, "item_id", "score", "question_overlap", "answer_overlap"],
                         )
 
         item_kind = to_arrow_type(items.schema["item_id"].dataType)
-        found = docs.select("doc_id", "text").mapInArrow(search, schema)
+        found = docs.select(*carry, "text").mapInArrow(search, schema)
         all_found = found if all_found is None else all_found.unionByName(found)
     best = F.max(F.struct("score", "question_overlap", "answer_overlap"))
-    return all_found.groupBy("doc_id", "item_id").agg(best.alias("b")).select("doc_id", "item_id", "b.*")
+    return all_found.groupBy(*carry, "item_id").agg(best.alias("b")).select(*carry, "item_id", "b.*")
 
 
 def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
