@@ -17,7 +17,7 @@ def con():
 
 def test_all_operators_are_registered():
     numbers = {int(n[2:].split("_")[0]) for n in queries.QUERIES if n.startswith("op")}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert "pipeline" in registered.queries() and len(corpus_pipeline.STAGES) == 5
 
 
