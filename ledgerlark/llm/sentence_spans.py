@@ -149,16 +149,22 @@ WITH cut AS (
     SELECT doc_id, unnest(range(len(s))) AS pos, unnest(s) AS raw, len(s) AS n FROM cut
 ), trimmed AS (
     SELECT *, trim(raw, ' ' || chr(9) || chr(10) || chr(12) || chr(13)) AS key FROM keys
-), pairs AS (
-    SELECT doc_id, pos, n, key, lead(key) OVER (PARTITION BY doc_id ORDER BY pos) AS after FROM trimmed
+), sized AS (
+    SELECT *, length(key) AS chars, sum(length(key)) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM trimmed
+), ends AS (
+    -- The second sentence, or the first one later at which the run has 60 characters, or the last one.
+    SELECT s.doc_id, s.pos, coalesce(min(e.pos) FILTER (e.upto - s.upto + s.chars >= 60), max(e.pos)) AS last
+    FROM sized s JOIN sized e ON e.doc_id = s.doc_id AND e.pos >= s.pos + least(2, s.n) - 1
+    GROUP BY s.doc_id, s.pos
+), keyed AS (
+    SELECT doc_id, list(key ORDER BY pos) AS keys FROM trimmed GROUP BY doc_id
 ), spans AS (
-    SELECT doc_id, pos, key, after FROM pairs
-    WHERE (pos + 1 < n OR n = 1) AND length(key) + coalesce(length(after), 0) >= 60
+    SELECT doc_id, pos, last, keys[pos + 1 : last + 1] AS run FROM ends JOIN keyed USING (doc_id)
 ), numbered AS (
-    SELECT *, row_number() OVER (PARTITION BY key, after ORDER BY doc_id, pos) AS occurrence FROM spans
+    SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS occurrence FROM spans
 ), gone AS (
     SELECT DISTINCT doc_id, p FROM (
-        SELECT doc_id, unnest([pos, pos + 1]) AS p FROM numbered WHERE occurrence > 1)
+        SELECT doc_id, unnest(range(pos, last + 1)) AS p FROM numbered WHERE occurrence > 1)
 ), marked AS (
     SELECT k.doc_id, k.pos, k.raw, g.p IS NOT NULL AS dropped
     FROM keys k LEFT JOIN gone g ON g.doc_id = k.doc_id AND g.p = k.pos
