@@ -1,8 +1,8 @@
 """Every registered query with the SQL it is checked against."""
 
-from ledgerlark.catalog import jobs, profile, sales, scalars
+from ledgerlark.catalog import jobs, profile, report, sales, scalars
 
-_FAMILIES = (sales, profile, jobs, scalars)
+_FAMILIES = (sales, report, profile, jobs, scalars)
 
 
 def queries() -> dict:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 
 from ledgerlark.catalog.sql import money, query
@@ -12,61 +10,74 @@ from ledgerlark.jobs import logs, people, rankings, reconcile
 from ledgerlark.operators import clean as rules, profile, select, sequences, sets
 from ledgerlark.operators.graph import reachable_from
 
-from ledgerlark.operators.settle import settle, use_checkpoint_folder
-from ledgerlark.plans import charts, markets, months
+from ledgerlark.operators.settle import scratch_path, settle
+from ledgerlark.plans import months
 from ledgerlark.sources import (
     append_lines,
     load_raw,
+    load_with_quarantine,
     read_lines,
     read_text_rows,
     sales_lines,
     table,
-    write_chart_frames,
     write_csv,
     write_json,
-    write_summaries,
 )
 
 # Fixed values.
 STATUS = {"F": "Fulfilled", "P": "Pending"}
 
 
-def _folder(spark) -> str:
-    return f"{use_checkpoint_folder(spark)}/written-{uuid.uuid4()}"
-
-
 # --- sources and sinks --------------------------------------------------------------
 
 
 def sales_lines_through_csv(spark, sf_dir):
     """All lines written as CSV and loaded again with the declared schema."""
-    path = f"{_folder(spark)}/lines.csv"
+    path = f"{scratch_path(spark)}/lines.csv"
     write_csv(sales_lines(spark, sf_dir), path)
     return load_raw(spark, path)
 
 
-def summary_tables_as_csv(spark, sf_dir):
-    """A summary written as CSV and read back as the text it holds."""
-    folder = _folder(spark)
-    lines = rules.clean(sales_lines(spark, sf_dir))
-    monthly = months.monthly_revenue(lines)
-    write_summaries({"q2_monthly_revenue": (monthly, ["YearMonth"])}, folder)
-    rows = read_text_rows(spark, f"{folder}/q2_monthly_revenue.csv", ["YearMonth", "Revenue"])
-    return rows.selectExpr(
-        "YearMonth", "try_cast(Revenue AS double) AS Revenue", "NOT contains(Revenue, 'E') AS is_plain"
+def sales_lines_with_line_breaks(spark, sf_dir):
+    """Lines whose descriptions hold line breaks, quotes and commas, through packed CSV."""
+    path = f"{scratch_path(spark)}/lines"
+    broken = F.expr("Description || '\\n\"2nd\", ' || StockCode")
+    lines = sales_lines(spark, sf_dir).withColumn(
+        "Description", F.when(F.expr("Quantity % 5 = 0"), broken).otherwise(F.col("Description"))
+    )
+    write_csv(lines, path, compression="gzip")
+    return load_raw(spark, path, file_format="csv", multi_line=True)
+
+
+_REFUSED = "o_orderkey % 9 IN (4, 5)"
+
+
+def lines_of_dirty_csv(spark, sf_dir):
+    """A CSV in which some lines do not fit their columns: those go to the quarantine."""
+    path = f"{scratch_path(spark)}/lines.csv"
+    write_csv(
+        table(spark, sf_dir, "orders").selectExpr(
+            "o_orderkey AS InvoiceNo", "o_custkey AS StockCode", "o_orderpriority AS Description",
+            "CASE o_orderkey % 9 WHEN 4 THEN 'six' ELSE string(o_custkey) END AS Quantity",
+            "CASE o_orderkey % 9 WHEN 5 THEN 'soon' ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END AS InvoiceDate",
+            "'2.5' AS UnitPrice", "string(o_custkey) || '.0' AS CustomerID", "o_orderstatus AS Country",
+        ),
+        path,
     )
+    lines, refused = load_with_quarantine(spark, path)
+    good = lines.selectExpr("'accepted' AS part", "concat_ws(',', InvoiceNo, Quantity, CustomerID, Country) AS line")
+    return good.unionByName(refused.selectExpr("reason AS part", "record AS line"))
 
 
-def chart_frames_as_parquet(spark, sf_dir):
-    folder = _folder(spark)
-    lines = rules.clean(sales_lines(spark, sf_dir))
-    write_chart_frames({"q1_uk_vs_others": charts.donut(markets.uk_vs_others(lines))}, folder)
-    return spark.read.parquet(f"{folder}/q1_uk_vs_others.parquet")
+def lines_of_a_table(spark, sf_dir):
+    """Lines kept as a table of the catalog, loaded by its name."""
+    sales_lines(spark, sf_dir).createOrReplaceTempView("sales_lines_at_hand")
+    return load_raw(spark, "sales_lines_at_hand", file_format="table").select("InvoiceNo", "StockCode", "UnitPrice")
 
 
 def text_rows_appended(spark, sf_dir):
     """Rows written as CSV, more appended, all read back as text and cast."""
-    path = _folder(spark)
+    path = scratch_path(spark)
     people_rows = table(spark, sf_dir, "customer").selectExpr("c_name AS name", "c_custkey AS age")
     extra = table(spark, sf_dir, "supplier").selectExpr("s_name AS name", "s_suppkey AS age")
     write_csv(people_rows, path)
@@ -76,14 +87,14 @@ def text_rows_appended(spark, sf_dir):
 
 
 def lines_appended(spark, sf_dir):
-    path = _folder(spark)
+    path = scratch_path(spark)
     append_lines(table(spark, sf_dir, "nation"), path, "n_name")
     append_lines(table(spark, sf_dir, "customer"), path, "c_name")
     return read_lines(spark, path).selectExpr("trim(value) AS line")
 
 
 def summary_as_json(spark, sf_dir):
-    path = _folder(spark)
+    path = scratch_path(spark)
     """The whole summary with its nested breakdown, written and read back."""
     breakdown = F.from_json(F.get_json_object("summary", "$.status_breakdown"), "map<string,bigint>")
     summary = logs.log_summary(_log_lines(spark, sf_dir), "event_id")
@@ -133,7 +144,7 @@ def load_summary(spark, sf_dir):
 
 def accepted_and_quarantined_tables(spark, sf_dir):
     """Both tables written, read back and counted."""
-    folder = _folder(spark)
+    folder = scratch_path(spark)
     people.write_validated(_applicants(spark, sf_dir), f"{folder}/good", f"{folder}/bad")
     good = spark.read.parquet(f"{folder}/good").selectExpr("'good' AS part", "name")
     bad = spark.read.parquet(f"{folder}/bad").selectExpr("'bad' AS part", "name")
@@ -512,8 +523,9 @@ QUERIES = {
     f.__name__: f
     for f in (
         sales_lines_through_csv,
-        summary_tables_as_csv,
-        chart_frames_as_parquet,
+        sales_lines_with_line_breaks,
+        lines_of_dirty_csv,
+        lines_of_a_table,
         text_rows_appended,
         lines_appended,
         summary_as_json,
@@ -635,14 +647,22 @@ def _quarter_sql(name: str) -> str:
 
 ORACLE = {
     "sales_lines_through_csv": query("SELECT * FROM sales", "sales"),
-    "summary_tables_as_csv": query("SELECT YearMonth, Revenue, true AS is_plain FROM months", "months"),
-    "chart_frames_as_parquet": query(
-        f"""
-SELECT Label, Revenue, round_even(Revenue / (SELECT {money('Revenue')} FROM clean) * 100, 1) AS Share_pct
-FROM (SELECT CASE WHEN Country = 'United Kingdom' THEN 'United Kingdom' ELSE 'Other Countries' END AS Label,
-             {money('Revenue')} AS Revenue FROM clean GROUP BY 1)""",
-        "clean",
+    "sales_lines_with_line_breaks": query(
+        """SELECT * REPLACE (CASE WHEN Quantity % 5 = 0 THEN Description || chr(10) || '"2nd", ' || StockCode
+                  ELSE Description END AS Description) FROM sales""",
+        "sales",
     ),
+    "lines_of_dirty_csv": f"""
+SELECT 'accepted' AS part,
+  concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus) AS line
+FROM orders WHERE NOT ({_REFUSED})
+UNION ALL
+SELECT 'parsing error', concat_ws(',', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderpriority,
+  CASE WHEN o_orderkey % 9 = 4 THEN 'six' ELSE CAST(o_custkey AS VARCHAR) END,
+  CASE WHEN o_orderkey % 9 = 5 THEN 'soon' ELSE strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END,
+  '2.5', o_custkey || '.0', o_orderstatus)
+FROM orders WHERE {_REFUSED}""",
+    "lines_of_a_table": query("SELECT InvoiceNo, StockCode, UnitPrice FROM sales", "sales"),
     "text_rows_appended": """SELECT c_name AS name, CAST(c_custkey AS VARCHAR) AS age, c_custkey AS age_number
 FROM customer UNION ALL SELECT s_name, CAST(s_suppkey AS VARCHAR), s_suppkey FROM supplier""",
     "lines_appended": "SELECT n_name AS line FROM nation UNION ALL SELECT c_name FROM customer",

@@ -10,6 +10,7 @@ from ledgerlark.operators import clean as rules
 from ledgerlark.plans import charts, customers as q5, markets, months, orders as q4, products as q3
 from ledgerlark.operators.grain import customer_grain, visit_grain
 from ledgerlark.operators.settle import settle
+from ledgerlark.plans.report import staged
 from ledgerlark.sources import sales_lines
 
 # The order sizes of the tables at hand; the report's own sizes are the default.
@@ -98,6 +99,13 @@ def cleaning_audit(spark, sf_dir):
     return rules.cleaning_audit(_raw(spark, sf_dir))
 
 
+def cleaning_audit_of_the_report(spark, sf_dir):
+    """The audit that a run of the report takes while it stages the cleaned lines."""
+    cleaned, seen = rules.clean_with_audit(_raw(spark, sf_dir))
+    staged(cleaned)
+    return rules.audit_seen(spark, seen)
+
+
 # --- question 1 ---------------------------------------------------------------------
 
 
@@ -109,6 +117,10 @@ def country_revenue(spark, sf_dir):
     return markets.country_revenue(_clean(spark, sf_dir))
 
 
+def country_revenue_in_place(spark, sf_dir):
+    return markets.countries_in_place(_clean(spark, sf_dir))
+
+
 # --- question 2 ---------------------------------------------------------------------
 
 
@@ -172,7 +184,7 @@ def product_scatter(spark, sf_dir):
 
 
 def order_values(spark, sf_dir):
-    return q4.order_values(q4.invoice_grain(_clean(spark, sf_dir)))
+    return q4.order_values(_invoices(spark, sf_dir))
 
 
 def largest_orders(spark, sf_dir):
@@ -240,7 +252,7 @@ def non_vip_lines(spark, sf_dir):
 
 def vip_monthly_revenue(spark, sf_dir):
     visits = q5.visits_of(_clean(spark, sf_dir))
-    return q5.vip_months(visits, q5.customers_of(visits))
+    return q5.vip_months(visits, q5.flag_vip(q5.customers_of(visits)))
 
 
 def vip_season(spark, sf_dir):
@@ -263,7 +275,7 @@ def chart_uk_donut(spark, sf_dir):
 
 
 def chart_country_bars(spark, sf_dir):
-    return charts.country_bars(markets.country_revenue(_clean(spark, sf_dir)))
+    return charts.country_bars(settle(markets.country_revenue(_clean(spark, sf_dir))))
 
 
 def chart_monthly_line(spark, sf_dir):
@@ -338,8 +350,10 @@ QUERIES = {
         lines_of_known_customers,
         lines_of_products,
         cleaning_audit,
+        cleaning_audit_of_the_report,
         uk_vs_others,
         country_revenue,
+        country_revenue_in_place,
         monthly_revenue,
         monthly_revenue_growth,
         headline_growth,
@@ -387,16 +401,16 @@ QUERIES = {
 # --- the same in SQL ----------------------------------------------------------------
 
 
-def _impact_sql() -> str:
+def impact_sql(thresholds) -> str:
     rows = [
         f"""SELECT {t} AS Threshold, count(*) FILTER (WHERE OrderValue > {t}) AS OrderCount,
        round_even(CAST(count(*) FILTER (WHERE OrderValue > {t}) AS DOUBLE) / count(*) * 100, 2) AS OrderPct,
        coalesce({money(f"CASE WHEN OrderValue > {t} THEN OrderValue END")}, 0) AS Revenue,
        round_even(coalesce({money(f"CASE WHEN OrderValue > {t} THEN OrderValue END")}, 0)
              / {money("OrderValue")} * 100, 2) AS RevenuePct FROM invoices"""
-        for t in THRESHOLDS
+        for t in thresholds
     ]
-    return " UNION ALL ".join(rows)
+    return query(" UNION ALL ".join(rows), "invoices")
 
 
 def _audit_sql() -> str:
@@ -447,7 +461,8 @@ def _norm_sql(against: str) -> str:
         )
 
     return query(
-        f"SELECT YearMonth, {scaled('vip')}, {scaled(against)} FROM vip_months", "vip_months"
+        f"SELECT YearMonth, {scaled('vip')}, {scaled(against)}, (SELECT count(*) FROM vips) AS VIPs FROM vip_months",
+        "vip_months",
     )
 
 
@@ -584,11 +599,13 @@ product_rank, round(product_pct, 6) AS product_pct FROM curve""",
         "curve",
     ),
     "product_scatter": query("SELECT Description, Revenue, Frequency FROM products", "products"),
-    "order_values": query("SELECT * FROM invoices", "invoices"),
+    "order_values": query(
+        "SELECT *, row_number() OVER (ORDER BY OrderValue DESC, InvoiceNo) AS place FROM invoices", "invoices"
+    ),
     "largest_orders": query(
         "SELECT * FROM invoices ORDER BY OrderValue DESC, InvoiceNo LIMIT 10", "invoices"
     ),
-    "large_order_impact": query(_impact_sql(), "invoices"),
+    "large_order_impact": impact_sql(THRESHOLDS),
     "order_value_percentiles": query(
         " UNION ALL ".join(
             f"SELECT CAST({p} AS DOUBLE) AS Percentile, "
@@ -650,11 +667,13 @@ WHERE product_rank <= (
         "curve",
     ),
     "chart_top_products": query(
-        f"SELECT Description, Revenue, 'Freq Rank: #' || FrequencyRank AS Label FROM {_TOP20}",
+        f"""SELECT Description, Revenue, 'Freq Rank: #' || FrequencyRank AS Label,
+  row_number() OVER (ORDER BY Revenue, Description) AS place FROM {_TOP20}""",
         "products",
     ),
     "chart_top_customers": query(
-        f"""SELECT CAST(CustomerID AS VARCHAR) AS Customer, TotalRevenue, OrderCount || ' orders' AS Label
+        f"""SELECT CAST(CustomerID AS VARCHAR) AS Customer, TotalRevenue, OrderCount || ' orders' AS Label,
+  row_number() OVER (ORDER BY TotalRevenue, CAST(CustomerID AS VARCHAR)) AS place
 FROM {_TOP_CUSTOMERS}""",
         "customers",
     ),
@@ -706,4 +725,7 @@ WHERE x < q1 - (q3 - q1) * 1.5 OR x > q3 + (q3 - q1) * 1.5""",
         extra=_kept("invoices", "OrderValue") | _QUARTILES,
     ),
 }
-ORACLE["chart_country_bars"] = ORACLE["country_revenue"]
+ORACLE["cleaning_audit_of_the_report"] = ORACLE["cleaning_audit"]
+for _name, _order in (("country_revenue_in_place", "Revenue DESC"), ("chart_country_bars", "Revenue")):
+    ORACLE[_name] = f"""SELECT *, row_number() OVER (ORDER BY {_order}, Country) AS place
+FROM ({ORACLE["country_revenue"]}) abroad"""

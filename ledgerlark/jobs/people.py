@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions import title_case
 
-# The name rule is tested before the age is parsed.
+# The reasons.  The name rule is tested before the age is parsed.
 NAME_MISSING = "validation error"
 AGE_NOT_A_NUMBER = "parsing error"
 

@@ -14,6 +14,7 @@ def reconcile(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFra
     there = right.select(key).distinct().withColumn("_right", F.lit(True))
     return here.join(there, key, "full_outer").select(
         key,
+        # The name of an unknown key and the three findings.
         F.coalesce(F.col(name), F.lit("Unknown")).alias(name),
         F.expr(
             "CASE WHEN _right IS NULL THEN 'missing_from_billing' "

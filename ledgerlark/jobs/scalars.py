@@ -27,6 +27,10 @@ def text_normalise(frame: DataFrame, key: str, text: str) -> DataFrame:
         f"trim(BOTH ' #0123456789' FROM {text}) AS custom_stripped",
         # Padding never shortens: longer text stays as it is.
         f"IF(length({text}) < 24, rpad({text}, 24, '.'), {text}) AS padded",
+        f"IF(length({text}) < 24, lpad({text}, 24, '.'), {text}) AS right_justified",
+        # An odd number of blanks leaves the larger half on the right.
+        f"IF(length({text}) < 24, rpad(lpad({text}, int(12 + floor(length({text}) / 2)), '*'), 24, '*'), {text})"
+        " AS centred",
         f"IF(length({key}) < 6, lpad(string({key}), 6, '0'), string({key})) AS zero_filled",
         f"hex(encode(trim({text}), 'UTF-8')) AS encoded",
         f"decode(encode({text}, 'UTF-8'), 'UTF-8') = {text} AS decodes_back",
@@ -57,8 +61,42 @@ def text_search_replace(frame: DataFrame, key: str, text: str) -> DataFrame:
     )
 
 
-def number_math(frame: DataFrame, key: str, amount: str) -> DataFrame:
-    """Arithmetic with floor division and non-negative remainders, rounding and bases."""
+def text_classes(frame: DataFrame, key: str, text: str) -> DataFrame:
+    """What kind of characters a text is made of, in any script; an empty text is none."""
+    return frame.selectExpr(
+        key,
+        rf"{text} RLIKE '^\\p{{L}}+$' AS is_letters",
+        rf"{text} RLIKE '^[0-9]+$' AS is_digits",
+        rf"{text} RLIKE '^[\\p{{L}}\\p{{N}}]+$' AS is_letters_or_digits",
+        rf"{text} RLIKE '^\\s+$' AS is_blank",
+        rf"{text} RLIKE '\\p{{Lu}}' AND NOT {text} RLIKE '\\p{{Ll}}' AS is_upper",
+        rf"{text} RLIKE '\\p{{Ll}}' AND NOT {text} RLIKE '\\p{{Lu}}' AS is_lower",
+    )
+
+
+def text_pieces(frame: DataFrame, key: str, text: str) -> DataFrame:
+    """Lines, whatever ends them, and pieces between runs of blanks."""
+    lines = rf"split(regexp_replace({text}, '(\\r\\n|\\r|\\n)$', ''), '\\r\\n|\\r|\\n')"
+    return frame.selectExpr(
+        key,
+        f"IF({text} = '', array(), {lines}) AS _lines",
+        rf"filter(split({text}, '\\s+'), x -> x <> '') AS _pieces",
+    ).selectExpr(
+        key,
+        "size(_lines) AS n_lines",
+        "size(_pieces) AS n_pieces",
+        "array_max(transform(_lines, x -> length(x))) AS longest_line",
+        "get(_pieces, 0) AS first_piece",
+        "sha2(array_join(_pieces, ' '), 256) AS joined_sha256",
+    )
+
+
+def number_math(frame: DataFrame, key: str, amount: str, measure: str | None = None) -> DataFrame:
+    """Arithmetic with floor division and non-negative remainders, rounding and bases.
+
+    ``measure`` is the column that may hold NaN and infinities; ``amount`` if not given.
+    """
+    measure = measure or amount
     return frame.selectExpr(
         key,
         f"abs({amount} - 250000D) AS distance",
@@ -72,10 +110,13 @@ def number_math(frame: DataFrame, key: str, amount: str) -> DataFrame:
         f"round(sqrt({amount}), 6) AS root",
         f"round(ln({amount} + 1), 6) AS log_e",
         f"round(log10({amount} + 1), 6) AS log_10",
+        f"round(log2({amount} + 1), 6) AS log_2",
         f"round(sin(radians({key} % 360)), 6) AS sine",
+        f"round(degrees(atan2(double({key} % 7), 3D)), 6) AS angle",
         f"round(hypot({amount}, 1000D), 4) AS hypotenuse",
         f"factorial(int({key} % 10)) AS factorials",
-        f"isnan({amount}) OR abs({amount}) = double('Infinity') AS not_finite",
+        f"isnan({measure}) OR abs({measure}) = double('Infinity') AS not_finite",
+        f"IF(isnan({measure}) OR abs({measure}) = double('Infinity'), NULL, {measure}) AS finite_or_null",
         f"greatest({key} % 5, {key} % 7, 3) AS largest",
         f"bin({key}) AS binary_text",
         f"hex({key}) AS hex_text",
@@ -108,6 +149,7 @@ def array_map_ops(frame: DataFrame, key: str, words: str) -> DataFrame:
     """Lists and maps made from a text of words; results are joined to text."""
     lists = frame.selectExpr(
         key,
+        f"length({words}) AS whole",
         f"split({words}, ' ') AS w",
         f"transform(split({words}, ' '), x -> length(x)) AS n",
     ).selectExpr("*", "map_from_entries(array_distinct(arrays_zip(w, n))) AS lengths")
@@ -129,11 +171,12 @@ def array_map_ops(frame: DataFrame, key: str, words: str) -> DataFrame:
         "greatest(array_max(n), array_max(array(4, 5))) AS max_of_lists",
         "array_join(transform(array(array(n[0], 1), array(2, 3)), r -> string(r[0])), ',') AS first_column",
         "coalesce(try_element_at(lengths, 'red'), 0) AS red_or_zero",
-        "try_element_at(map_from_arrays(array('user'), array(map_from_arrays(array('words'), array(size(w))))),"
-        " 'user')['words'] AS nested_value",
+        "try_element_at(try_element_at(map_from_arrays(w, transform(w, x -> map('letters', length(x)))), 'red'),"
+        " 'letters') AS nested_value",
         "map_from_arrays(map_values(map_filter(lengths, (k, v) -> k = w[0])), array(w[0]))[length(w[0])]"
         " AS inverted",
-        "map_zip_with(lengths, map('red', 99), (k, a, b) -> coalesce(b, a))['red'] AS merged_red",
+        "map_zip_with(lengths, map('red', whole), (k, a, b) -> coalesce(a, 0) + coalesce(b, 0))['red']"
+        " AS merged_red",
         "array_join(transform(array_sort(transform(map_entries(lengths), e -> struct(e.value, e.key))),"
         " e -> e.key), ' ') AS by_length",
     )
@@ -150,6 +193,20 @@ def json_roundtrip(frame: DataFrame) -> DataFrame:
     )
 
 
+def nested_values(documents: DataFrame, key: str, document: str, paths: dict[str, tuple[str, str, str]]) -> DataFrame:
+    """Values at paths of a VARIANT column, with a default where a level is missing.
+
+    ``paths`` maps an output name to (path, type, default).
+    """
+    return documents.selectExpr(
+        key,
+        *[
+            f"coalesce(try_variant_get({document}, '{path}', '{kind}'), {default}) AS {name}"
+            for name, (path, kind, default) in paths.items()
+        ],
+    )
+
+
 def formatted_by_kind(frame: DataFrame, name: str, amount: str, kind: str) -> DataFrame:
     """The text form chosen by ``kind``; an unknown kind has none."""
     money = f"format_number({amount}, 2)"

@@ -90,6 +90,7 @@ def running_over(
     number: str = "row_no",
     exact: DataType | None = None,
     whole: Mapping[str, str] | None = None,
+    sorted_rows: bool = False,
 ) -> DataFrame:
     """Add a 1-based row number and running aggregates to a frame spread in order.
 
@@ -97,7 +98,7 @@ def running_over(
     ``min`` or ``product``.  Doubles are added as doubles; with a decimal type in ``exact``
     they are added as such, which does not depend on the order of tasks but cuts what the
     type cannot hold.  ``whole`` maps a name to a running sum whose total over the row's
-    partition it shall be.
+    partition it shall be.  ``sorted_rows`` keeps the ranges in their order.
     """
     running = dict(running or {})
     kinds = {name: kind for name, (kind, _) in running.items()}
@@ -133,7 +134,7 @@ def running_over(
 
     inside = Window.partitionBy(RANGE, *parts).orderBy(*[F.expr(e) for e in order_by])
     so_far = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    numbered = placed.select(
+    numbered = (placed.repartitionByRange(RANGE) if sorted_rows else placed).select(
         "*",
         F.row_number().over(inside).alias("_no"),
         *[_RUNNING[kinds[n]][0](inputs[n]).over(so_far).alias(f"_in_{n}") for n in running],
@@ -183,21 +184,133 @@ def in_order(
     return running_over(placed, order_by, partition_by, running, number, exact)
 
 
-def count_ranks(frame: DataFrame, count: str, rank: str = "rank", ranges: int | None = None) -> DataFrame:
-    """The rank of each value of a whole-number column, largest first.
+def in_global_order(
+    frame: DataFrame, order_by: Sequence[str], number: str = "place", ranges: int | None = None
+) -> DataFrame:
+    """The rows in order, range-partitioned, each with its 1-based place.
+
+    Partition after partition, and row after row, the result is sorted; written files are.
+    """
+    placed = spread_in_order(frame, order_by, ranges=ranges)
+    return running_over(placed, order_by, number=number, sorted_rows=True)
+
 
-    Rows with equal values share the lowest rank: 1 + the rows with a larger value.
-    Rows are folded to one per distinct value first; only those are put in order.
+def top_in_place(frame: DataFrame, order_by: Sequence[str], number: str = "place") -> DataFrame:
+    """The rows of a short list (top n) in order, each with its 1-based place.
+
+    The list becomes one row and back, so its size must be bounded by the caller.
     """
-    sizes = settle(
-        frame.filter(F.col(count).isNotNull())
-        .groupBy(count)
-        .agg(F.count(F.lit(1)).alias("_members"))
+    key = F.struct(*[F.expr(e).alias(f"k{i}") for i, e in enumerate(order_by)])
+    row = F.struct(*frame.columns)
+    listed = frame.agg(F.sort_array(F.collect_list(F.struct(key.alias("key"), row.alias("row")))).alias("rows"))
+    return listed.select(F.posexplode("rows").alias("_at", "_r")).select(
+        "_r.row.*", (F.col("_at") + 1).cast("bigint").alias(number)
     )
-    upto = in_order(
-        sizes, [f"-{count}"], running={"_upto": ("sum", "_members")}, ranges=ranges
+
+
+def tied_ranks(
+    frame: DataFrame,
+    order_by: Sequence[str],
+    then_by: Sequence[str],
+    rank: str = "rank",
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add the rank of each row by ``order_by``; equal rows share the lowest rank.
+
+    ``then_by`` makes the order total, so that rows of one rank can lie in many ranges.
+    What a range takes over from those before it is their number of rows and the rank at
+    which the value begins that goes on in it.  Nothing is joined on the ranked value.
+    """
+    placed = spread_in_order(frame, [*order_by, *then_by], ranges=ranges)
+    tie = F.struct(*[F.expr(e).alias(f"k{i}") for i, e in enumerate(order_by)])
+    copies = placed.groupBy(RANGE, tie.alias("_tie")).agg(F.count(F.lit(1)).alias("_n"))
+    ends = copies.groupBy(RANGE).agg(
+        F.sum("_n").alias("_rows"), F.min("_tie").alias("_first"), F.max(F.struct("_tie", "_n")).alias("_end")
+    )
+    # One row per range: a global window by intent.
+    by_range = Window.partitionBy(F.col(RANGE) < 0).orderBy(RANGE)
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    goes_on = F.coalesce(F.lag("_end._tie").over(by_range).eqNullSafe(F.col("_first")), F.lit(False))
+    carried = ends.select(
+        "*", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"), goes_on.alias("_goes_on")
+    ).withColumn(
+        "_begins",
+        F.when(
+            ~(F.col("_goes_on") & (F.col("_first") == F.col("_end._tie"))),
+            F.col("_before") + F.col("_rows") - F.col("_end._n") + 1,
+        ),
+    ).select(
+        F.col(RANGE).alias("_r"), "_before",
+        F.when(F.col("_goes_on"), F.last("_begins", ignorenulls=True).over(earlier)).alias("_rank"),
     )
-    return upto.select(count, (F.col("_upto") - F.col("_members") + 1).alias(rank))
+    inner = F.rank().over(Window.partitionBy(RANGE).orderBy(*[F.expr(e) for e in order_by]))
+    ranked = placed.withColumn("_inner", inner).join(F.broadcast(carried), F.col(RANGE) == F.col("_r"))
+    taken = F.when((F.col("_inner") == 1) & F.col("_rank").isNotNull(), F.col("_rank"))
+    return ranked.select(
+        *[c for c in placed.columns if c != RANGE],
+        F.coalesce(taken, F.col("_before") + F.col("_inner")).cast("bigint").alias(rank),
+    )
+
+
+def runs_in_order(
+    frame: DataFrame, order_by: Sequence[str], partition_by: Sequence[str], value: str, ranges: int | None = None
+) -> DataFrame:
+    """Adjacent equal values per partition: ``(*partition_by, value, first_position, length)``.
+
+    Runs are found inside each range.  A range takes over the last value of the one before
+    it, so a run over several ranges gets the name of the range it began in, and its parts
+    are added up.  The rows are shuffled once, by range; after that only runs move.
+    """
+    placed = spread_in_order(frame, order_by, partition_by, ranges)
+    parts = list(partition_by)
+    turn = [f"_o{i}" for i in range(len(order_by))]
+    inside = Window.partitionBy(RANGE, *parts)
+    in_turn = inside.orderBy(*turn)
+    upto = in_turn.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    number = F.row_number().over(in_turn)
+    begins = (number == 1) | ~F.lag(value).over(in_turn).eqNullSafe(F.col(value))
+    runs = (
+        placed.select(RANGE, *parts, value, *[F.expr(e).alias(c) for c, e in zip(turn, order_by, strict=True)])
+        .select("*", number.alias("_no"), begins.cast("int").alias("_begins"))
+        .withColumn("_run", F.sum("_begins").over(upto))
+        .withColumn("_last_run", F.max("_run").over(inside))
+        .groupBy(RANGE, *parts, value, "_run", "_last_run")
+        .agg(F.min("_no").alias("_no"), F.count(F.lit(1)).alias("_n"))
+    )
+    # What each range holds of a partition; the rows' shuffle is used again for it.
+    held = F.struct(F.col(value).alias("v"))
+    ends = runs.groupBy(RANGE, *parts).agg(
+        F.sum("_n").alias("_rows"), (F.max("_run") == 1).alias("_single"),
+        F.min_by(held, "_run").alias("_first"), F.max_by(held, "_run").alias("_last"),
+    )
+    by_range = Window.partitionBy(*(parts or [F.col(RANGE) < 0])).orderBy(RANGE)
+    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
+    # Only the first partition of a range can have begun in an earlier one, so at most one
+    # row per range is left and goes to every task.
+    before = ends.select(
+        RANGE, *parts, "_single",
+        F.sum("_rows").over(earlier).alias("_before"),
+        F.coalesce(F.lag("_last").over(by_range) == F.col("_first"), F.lit(False)).alias("_goes_on"),
+    ).withColumn(
+        "_origin", F.last(F.when(~(F.col("_goes_on") & F.col("_single")), F.col(RANGE)), ignorenulls=True).over(earlier)
+    ).filter("_before > 0").select(
+        F.col(RANGE).alias("_r"), *[F.col(p).alias(f"_p{i}") for i, p in enumerate(parts)],
+        "_before", F.when(F.col("_goes_on"), F.col("_origin")).alias("_origin"),
+    )
+    same = F.col(RANGE) == F.col("_r")
+    for i, part in enumerate(parts):
+        same = same & F.col(part).eqNullSafe(F.col(f"_p{i}"))
+    taken = (F.col("_run") == 1) & F.col("_origin").isNotNull()
+    named = runs.join(F.broadcast(before), same, "left").select(
+        *parts, value, "_n",
+        (F.coalesce("_before", F.lit(0)) + F.col("_no")).alias("_no"),
+        F.when(taken, F.col("_origin")).otherwise(F.col(RANGE)).alias("_origin"),
+        # 0 is the last run of its range, the one that can go on.
+        F.when(taken | (F.col("_run") == F.col("_last_run")), 0).otherwise(F.col("_run")).alias("_run"),
+    )
+    return named.groupBy(*parts, value, "_origin", "_run").agg(
+        F.min("_no").alias("first_position"), F.sum("_n").alias("length")
+    ).drop("_origin", "_run")
 
 
 def folded_values(frame: DataFrame, column: str, by: Sequence[str] = ()) -> DataFrame:
@@ -209,6 +322,43 @@ def folded_values(frame: DataFrame, column: str, by: Sequence[str] = ()) -> Data
     )
 
 
+def ordered_values(frame: DataFrame, column: str, ranges: int | None = None) -> DataFrame:
+    """``(value, copies, upto)``: the distinct non-null values of a column, settled.
+
+    ``upto`` counts the copies of all values up to and including this one.  The values are
+    put in order once; quantiles, ends, bins and fences of the column, or of the part below
+    a cut, are then read from this frame.
+    """
+    copies = folded_values(frame, column)
+    upto = in_order(copies, ["_value"], running={"upto": ("sum", "_copies")}, ranges=ranges)
+    return settle(upto.select(F.col("_value").alias("value"), F.col("_copies").alias("copies"), "upto"))
+
+
+def quantiles_of_ordered(values: DataFrame, probabilities: Mapping[str, float]) -> DataFrame:
+    """One row of exact quantiles of :func:`ordered_values`, or of those up to a cut.
+
+    The two values around each position are picked by their running counts, so a part of
+    the values needs no new order.
+    """
+    n = values.agg(F.max("upto")).scalar()
+    counted = values.withColumn("_n", n)
+    return _picked(counted, [], probabilities, "value", "upto")
+
+
+def _picked(upto: DataFrame, groups: list[str], probabilities: Mapping[str, float], value: str, count: str) -> DataFrame:
+    """The values around each position, mixed by how near it is to them."""
+    edges, values = [], groups[:]
+    for name, p in probabilities.items():
+        at = f"(_n - 1) * {float(p)!r}D"
+        edges += [
+            F.expr(f"min(IF({count} > floor({at}), {value}, NULL))").alias(f"{name}_lo"),
+            F.expr(f"min(IF({count} > ceil({at}), {value}, NULL))").alias(f"{name}_hi"),
+            F.expr(f"max({at} - floor({at}))").alias(f"{name}_part"),
+        ]
+        values.append(f"double({name}_lo + ({name}_hi - {name}_lo) * {name}_part) AS {name}")
+    return upto.groupBy(*groups).agg(*edges).selectExpr(*values)
+
+
 def quantiles_of_folded(
     copies: DataFrame,
     probabilities: Mapping[str, float],
@@ -225,17 +375,7 @@ def quantiles_of_folded(
     upto = running_over(
         placed, order, groups, running={"_upto": ("sum", "_copies")}, whole={"_n": "_upto"}
     )
-
-    edges, values = [], groups[:]
-    for name, p in probabilities.items():
-        at = f"(_n - 1) * {float(p)!r}D"
-        edges += [
-            F.expr(f"min(IF(_upto > floor({at}), _value, NULL))").alias(f"{name}_lo"),
-            F.expr(f"min(IF(_upto > ceil({at}), _value, NULL))").alias(f"{name}_hi"),
-            F.expr(f"max({at} - floor({at}))").alias(f"{name}_part"),
-        ]
-        values.append(f"double({name}_lo + ({name}_hi - {name}_lo) * {name}_part) AS {name}")
-    return upto.groupBy(*groups).agg(*edges).selectExpr(*values)
+    return _picked(upto, groups, probabilities, "_value", "_upto")
 
 
 def exact_quantiles(

@@ -89,8 +89,19 @@ def _named(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def duplicate_rows(frame: DataFrame) -> DataFrame:
-    """How many rows repeat an earlier identical row; missing values count as equal."""
-    copies = frame.groupBy(*frame.columns).agg(F.count(F.lit(1)).alias("_n"))
+    """How many rows repeat an earlier identical row; missing values count as equal.
+
+    Rows are folded to 128 bits of hash first, so that what is shuffled for every row is
+    its hash.  Only rows whose hash occurs again are compared whole.
+    """
+    missing = F.concat(*[F.col(f"`{c}`").isNull().cast("string") for c in frame.columns])
+    values = [F.col(f"`{c}`") for c in frame.columns]
+    hashed = frame.select(
+        "*", F.xxhash64(missing, *values).alias("_a"), F.xxhash64(F.lit("second"), missing, *values).alias("_b")
+    )
+    again = hashed.groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("_a", "_b")
+    compared = hashed.join(again, ["_a", "_b"], "left_semi").groupBy("_a", "_b", *values)
+    copies = compared.agg(F.count(F.lit(1)).alias("_n"))
     return copies.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("DuplicateRows"))
 
 

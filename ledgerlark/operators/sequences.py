@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ledgerlark.operators.ordered import in_order, overlapping_blocks
+from ledgerlark.operators.ordered import in_order, overlapping_blocks, runs_in_order
 from ledgerlark.operators.settle import settle
 
 
@@ -57,19 +57,8 @@ def running_values(
 def consecutive_runs(
     frame: DataFrame, key: str, order_by: Sequence[str], value: str, ranges: int | None = None
 ) -> DataFrame:
-    """Adjacent equal values per key as one row: value, length, first position.
-
-    Within a run, position in the key and position in (key, value) grow together; their
-    difference names the run, and runs are then counted like any other group.
-    """
-    numbered = in_order(frame, order_by, [key], number="position", ranges=ranges)
-    numbered = settle(numbered.select(key, value, "position"))
-    inner = in_order(numbered, ["position"], [key, value], number="_of_value", ranges=ranges)
-    return (
-        inner.groupBy(key, value, (F.col("position") - F.col("_of_value")).alias("_run"))
-        .agg(F.min("position").alias("first_position"), F.count(F.lit(1)).alias("length"))
-        .select(key, value, "first_position", "length")
-    )
+    """Adjacent equal values per key as one row: value, length, first position."""
+    return runs_in_order(frame, order_by, [key], value, ranges).select(key, value, "first_position", "length")
 
 
 def first_seen(frame: DataFrame, key: str, position: str) -> DataFrame:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ledgerlark.functions import exact_sum, percent_of
-from ledgerlark.operators.ordered import exact_quantiles, medians_of
+from ledgerlark.functions import MONEY, exact_sum, percent_of
+from ledgerlark.operators.ordered import (
+    in_global_order, medians_of, ordered_values, quantiles_of_ordered, top_in_place,
+)
 from ledgerlark.operators.settle import settle
 from ledgerlark.plans.products import pareto_curve, pareto_summary
 
@@ -32,7 +34,8 @@ def donut(shares: DataFrame, value: str = "Revenue") -> DataFrame:
 
 
 def country_bars(country_revenue: DataFrame) -> DataFrame:
-    return country_revenue.orderBy(F.asc("Revenue"), "Country")
+    """Markets from the bottom bar up, with their place.  Input: settled."""
+    return in_global_order(country_revenue, ["Revenue", "Country"])
 
 
 def pareto_plot(products: DataFrame) -> DataFrame:
@@ -46,17 +49,18 @@ def pareto_plot(products: DataFrame) -> DataFrame:
 
 def top_product_bars(top_products: DataFrame) -> DataFrame:
     label = F.format_string("Freq Rank: #%d", "FrequencyRank")
-    return top_products.select("Description", "Revenue", label.alias("Label")).orderBy(
-        F.asc("Revenue"), "Description"
+    return top_in_place(
+        top_products.select("Description", "Revenue", label.alias("Label")), ["Revenue", "Description"]
     )
 
 
 def top_customer_bars(top_customers: DataFrame) -> DataFrame:
-    return top_customers.select(
+    bars = top_customers.select(
         F.col("CustomerID").cast("string").alias("Customer"),
         "TotalRevenue",
         F.format_string("%d orders", "OrderCount").alias("Label"),
-    ).orderBy(F.asc("TotalRevenue"), "Customer")
+    )
+    return top_in_place(bars, ["TotalRevenue", "Customer"])
 
 
 def _quadrant(high_revenue: Column, often: Column, names: dict) -> Column:
@@ -122,33 +126,35 @@ def leading_products(products: DataFrame, top_n: int = 5) -> DataFrame:
     )
 
 
-def p99_of(frame: DataFrame, value: str) -> Column:
-    return settle(exact_quantiles(frame, value, {"p99": 0.99})).scalar()
-
+def drawn_values(values: DataFrame) -> tuple[DataFrame, Column]:
+    """Values up to the 99th percentile, and that percentile.
 
-def below_p99(frame: DataFrame, value: str) -> DataFrame:
-    """Rows up to the 99th percentile; the rest is left out of the picture only."""
-    return frame.filter(F.col(value) <= p99_of(frame, value))
+    The rest is left out of the picture only.  ``values`` comes from ``ordered_values``.
+    """
+    p99 = settle(quantiles_of_ordered(values, {"p99": 0.99})).scalar()
+    return values.filter(F.col("value") <= p99), p99
 
 
-def histogram(frame: DataFrame, value: str, bins: int = 60) -> DataFrame:
+def histogram(
+    frame: DataFrame, value: str, bins: int = 60, values: DataFrame | None = None
+) -> DataFrame:
     """Equal-width bins over [min, max] of the rows up to p99; empty bins are kept.
 
     The last bin holds its upper edge.  If all values are equal the range is widened
-    by one half on each side.
+    by one half on each side.  ``values`` is the column by ``ordered_values`` if that is at
+    hand, here and below.
     """
-    kept = below_p99(frame, value)
+    kept, _ = drawn_values(ordered_values(frame, value) if values is None else values)
     ends = settle(
-        kept.agg(F.min(value).alias("lo"), F.max(value).alias("hi")).select(
+        kept.agg(F.min("value").alias("lo"), F.max("value").alias("hi")).select(
             F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
             F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
         )
     )
     lo, hi = ends.select("lo").scalar(), ends.select("hi").scalar()
-    position = F.floor((F.col(value) - lo) / (hi - lo) * bins)
-    counts = (
-        kept.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("Bin"))
-        .agg(F.count(F.lit(1)).alias("n"))
+    position = F.floor((F.col("value") - lo) / (hi - lo) * bins)
+    counts = kept.groupBy(F.least(position, F.lit(bins - 1)).cast("int").alias("Bin")).agg(
+        F.sum("copies").alias("n")
     )
     edges = ends.select(
         F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("Bin"), "lo", "hi"
@@ -162,48 +168,53 @@ def histogram(frame: DataFrame, value: str, bins: int = 60) -> DataFrame:
     )
 
 
-def histogram_marks(frame: DataFrame, value: str) -> DataFrame:
+def histogram_marks(frame: DataFrame, value: str, values: DataFrame | None = None) -> DataFrame:
     """One row: the p99 cut, and count, median and mean of the rows drawn."""
-    p99 = p99_of(frame, value)
-    kept = frame.filter(F.col(value) <= p99)
+    values = ordered_values(frame, value) if values is None else values
+    kept, p99 = drawn_values(values)
+    money = F.col("value").cast(MONEY) * F.col("copies").cast("decimal(12,0)")
+    total = values.agg(F.coalesce(F.max("upto"), F.lit(0))).scalar()
+    median = quantiles_of_ordered(kept, {"median": 0.5}).scalar()
     drawn = kept.agg(
-        F.count(F.lit(1)).alias("Drawn"),
-        F.try_divide(exact_sum(value), F.count(F.lit(1))).alias("Mean"),
+        F.coalesce(F.sum("copies"), F.lit(0)).alias("Drawn"), F.sum(money).cast("double").alias("whole")
     )
-    total = frame.agg(F.count(F.lit(1))).scalar()
-    (median,) = medians_of(kept, value)
     return drawn.select(
         p99.alias("P99"),
         "Drawn",
         (total - F.col("Drawn")).alias("LeftOut"),
         median.alias("Median"),
-        "Mean",
+        F.try_divide("whole", "Drawn").alias("Mean"),
     )
 
 
-def box_plot(frame: DataFrame, value: str) -> DataFrame:
+def _box(values: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Values up to p99, and one row: the quartiles of the rows that hold them and the fences.
+
+    The fences lie 1.5 box lengths outside the box.
+    """
+    kept, _ = drawn_values(values)
+    quartiles = quantiles_of_ordered(kept, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75})
+    reach = (F.col("Q3") - F.col("Q1")) * 1.5
+    return kept, settle(quartiles.select("*", (F.col("Q1") - reach).alias("Low"), (F.col("Q3") + reach).alias("High")))
+
+
+def box_plot(frame: DataFrame, value: str, values: DataFrame | None = None) -> DataFrame:
     """One row: quartiles of the rows up to p99, whiskers and number of outliers.
 
-    A whisker ends at the furthest value within 1.5 box lengths of the box, and never
-    inside the box.
+    A whisker ends at the furthest value within the fences, and never inside the box.
     """
-    kept = below_p99(frame, value)
-    quartiles = settle(exact_quantiles(kept, value, {"Q1": 0.25, "Median": 0.5, "Q3": 0.75}))
-    q1, q3 = quartiles.select("Q1").scalar(), quartiles.select("Q3").scalar()
-    reach = (q3 - q1) * 1.5
-    x = F.col("x")
-    marked = kept.select(
-        F.col(value).alias("x"), (q1 - reach).alias("low"), (q3 + reach).alias("high")
-    )
-    inside = (x >= F.col("low")) & (x <= F.col("high"))
-    ends = marked.agg(
-        F.min(F.when(inside, x)).alias("low_end"),
-        F.max(F.when(inside, x)).alias("high_end"),
-        F.count_if(~inside).alias("Outliers"),
-    )
+    kept, box = _box(ordered_values(frame, value) if values is None else values)
+    low, high = box.select("Low").scalar(), box.select("High").scalar()
+    inside = F.col("value").between(low, high)
+    ends = kept.select("copies", "value", inside.alias("inside")).agg(
+        F.min(F.when(F.col("inside"), F.col("value"))).alias("low_end"),
+        F.max(F.when(F.col("inside"), F.col("value"))).alias("high_end"),
+        F.coalesce(F.sum(F.when(~F.col("inside"), F.col("copies"))), F.lit(0)).alias("Outliers"),
+    )
+    q1, q2, q3 = (box.select(q).scalar() for q in ("Q1", "Median", "Q3"))
     return ends.select(
         q1.alias("Q1"),
-        quartiles.select("Median").scalar().alias("Median"),
+        q2.alias("Median"),
         q3.alias("Q3"),
         F.least("low_end", q1).alias("WhiskerLow"),
         F.greatest("high_end", q3).alias("WhiskerHigh"),
@@ -211,10 +222,13 @@ def box_plot(frame: DataFrame, value: str) -> DataFrame:
     )
 
 
-def box_plot_outliers(frame: DataFrame, key: str, value: str) -> DataFrame:
+def box_plot_outliers(
+    frame: DataFrame, key: str, value: str, values: DataFrame | None = None
+) -> DataFrame:
     """The rows drawn as single points."""
-    kept = below_p99(frame, value)
-    quartiles = settle(exact_quantiles(kept, value, {"Q1": 0.25, "Q3": 0.75}))
-    q1, q3 = quartiles.select("Q1").scalar(), quartiles.select("Q3").scalar()
-    reach = (q3 - q1) * 1.5
-    return kept.filter((F.col(value) < q1 - reach) | (F.col(value) > q3 + reach)).select(key, value)
+    values = ordered_values(frame, value) if values is None else values
+    kept, box = _box(values)
+    low, high = box.select("Low").scalar(), box.select("High").scalar()
+    most = kept.agg(F.max("value")).scalar()
+    outside = (F.col(value) < low) | (F.col(value) > high)
+    return frame.filter((F.col(value) <= most) & outside).select(key, value)

@@ -71,13 +71,13 @@ def lines_of_others(lines: DataFrame, vips: DataFrame) -> DataFrame:
     return lines.filter(F.col("CustomerID").isNotNull()).join(vips, "CustomerID", "left_anti")
 
 
-def vip_months(visits: DataFrame, customers: DataFrame) -> DataFrame:
+def vip_months(visits: DataFrame, flagged: DataFrame) -> DataFrame:
     """Monthly revenue of VIPs, of the others and of all; null where a series has none.
 
     Visits are folded per (customer, month) before the VIP flag is joined, so the join
-    carries at most one row per customer and month.
+    carries at most one row per customer and month.  ``flagged`` comes from ``flag_vip``.
     """
-    flags = flag_vip(customers).select("CustomerID", "is_vip")
+    flags = flagged.select("CustomerID", "is_vip")
     vip, value = F.col("is_vip"), F.col("Revenue")
     return (
         visits.filter("YearMonth IS NOT NULL")
@@ -108,10 +108,15 @@ def normalised(months: DataFrame, series: list[str]) -> DataFrame:
 
 
 def vip_season(visits: DataFrame, customers: DataFrame, against: str = "non_vip") -> DataFrame:
-    """VIPs against the others (or ``everyone``) by month, each series scaled to 0..100."""
-    months = settle(vip_months(visits, customers))
+    """VIPs against the others (or ``everyone``) by month, each series scaled to 0..100.
+
+    Each month also carries the number of VIPs, which the chart names in its legend.
+    """
+    flagged = flag_vip(customers)
+    months = settle(vip_months(visits, flagged))
+    n_vips = flagged.agg(F.count_if("is_vip")).scalar()
     return (
         normalised(months, ["vip", against])
-        .select("YearMonth", "vip_norm", f"{against}_norm")
+        .select("YearMonth", "vip_norm", f"{against}_norm", n_vips.alias("VIPs"))
         .orderBy("YearMonth")
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions import MONEY, exact_sum, percent_of
 from ledgerlark.operators.clean import HOME_COUNTRY
+from ledgerlark.operators.ordered import in_global_order
 from ledgerlark.operators.settle import settle
 
 
@@ -41,3 +42,8 @@ def country_revenue(lines: DataFrame) -> DataFrame:
         .withColumn("RevenueShare_pct", percent_of("Revenue", everything))
         .orderBy(F.desc("Revenue"), "Country")
     )
+
+
+def countries_in_place(lines: DataFrame) -> DataFrame:
+    """Markets abroad with their place by revenue."""
+    return in_global_order(settle(country_revenue(lines)), ["-Revenue", "Country"])

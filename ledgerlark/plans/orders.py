@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ledgerlark.functions import MONEY, half_even, percent_of
 from ledgerlark.operators.grain import invoice_grain
-from ledgerlark.operators.ordered import exact_quantiles
+from ledgerlark.operators.ordered import in_global_order, ordered_values, quantiles_of_ordered
 from ledgerlark.operators.settle import settle
 
 # The order sizes the report asks about.
@@ -21,11 +21,12 @@ def invoices_of(lines: DataFrame) -> DataFrame:
 
 
 def order_values(invoices: DataFrame) -> DataFrame:
-    return invoices.orderBy(F.desc("OrderValue"), "InvoiceNo")
+    """All orders, largest first, with their place."""
+    return in_global_order(invoices, ["-OrderValue", "InvoiceNo"])
 
 
 def largest_orders(invoices: DataFrame, top_n: int = 10) -> DataFrame:
-    return order_values(invoices).limit(top_n)
+    return invoices.orderBy(F.desc("OrderValue"), "InvoiceNo").limit(top_n)
 
 
 def large_order_impact(
@@ -62,7 +63,7 @@ def order_value_ladder(
 ) -> DataFrame:
     """One row per percentile of the order value."""
     names = {f"p{i}": percentile / 100 for i, percentile in enumerate(percentiles)}
-    row = exact_quantiles(invoices, "OrderValue", names)
+    row = quantiles_of_ordered(ordered_values(invoices, "OrderValue"), names)
     return row.select(
         F.explode(
             F.array(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerlark.functions import MONEY, exact_sum
 from ledgerlark.operators.grain import product_grain
-from ledgerlark.operators.ordered import count_ranks, in_order
+from ledgerlark.operators.ordered import in_order, tied_ranks
 from ledgerlark.operators.settle import settle
 
 # Words that make a product name look like a charge, in any case.
@@ -22,18 +22,21 @@ def products_of(lines: DataFrame) -> DataFrame:
 
 def top_products(products: DataFrame, top_n: int = 20) -> DataFrame:
     """Best sellers by revenue, with their rank by number of lines among all products."""
-    best = products.orderBy(F.desc("Revenue"), "Description").limit(top_n)
-    ranks = count_ranks(products, "Lines", "FrequencyRank")
     return (
-        best.join(ranks, "Lines", "left")
+        _with_frequency_rank(products)
         .select("Description", "Revenue", "FrequencyRank")
         .orderBy(F.desc("Revenue"), "Description")
+        .limit(top_n)
     )
 
 
 def frequency_ranks(products: DataFrame) -> DataFrame:
-    ranks = count_ranks(products, "Lines", "FrequencyRank")
-    return products.join(ranks, "Lines", "left").select("Description", "Lines", "FrequencyRank")
+    return _with_frequency_rank(products).select("Description", "Lines", "FrequencyRank")
+
+
+def _with_frequency_rank(products: DataFrame) -> DataFrame:
+    named = products.select("Description", "Revenue", "Lines")
+    return tied_ranks(named, ["-Lines"], ["Description"], "FrequencyRank")
 
 
 def top_by_frequency(products: DataFrame, top_n: int = 20) -> DataFrame:

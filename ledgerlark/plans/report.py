@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ledgerlark.operators.clean import clean
+from ledgerlark.operators.clean import audit_seen, clean_with_audit
+from ledgerlark.operators.ordered import ordered_values
 from ledgerlark.operators.settle import settle
 from ledgerlark.plans import charts, customers as q5, markets, months, orders as q4, products as q3
 from ledgerlark.sources import load_raw, write_chart_frames, write_summaries
@@ -39,6 +40,7 @@ def summaries(grains: dict[str, DataFrame]) -> dict[str, tuple[DataFrame, list[s
 def chart_frames(lines: DataFrame, grains: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """The frame behind each of the thirteen charts."""
     products, invoices, customers = grains["products"], grains["invoices"], grains["customers"]
+    order_values = ordered_values(invoices, "OrderValue")
     return {
         "q1_uk_vs_others": charts.donut(markets.uk_vs_others(lines)),
         "q1_country_revenue": charts.country_bars(grains["countries"]),
@@ -47,8 +49,8 @@ def chart_frames(lines: DataFrame, grains: dict[str, DataFrame]) -> dict[str, Da
         "q3_pareto": charts.pareto_plot(products),
         "q3_top_products": charts.top_product_bars(q3.top_products(products)),
         "q3_product_segments": charts.product_segments(products),
-        "q4_order_value_histogram": charts.histogram(invoices, "OrderValue"),
-        "q4_order_value_boxplot": charts.box_plot(invoices, "OrderValue"),
+        "q4_order_value_histogram": charts.histogram(invoices, "OrderValue", values=order_values),
+        "q4_order_value_boxplot": charts.box_plot(invoices, "OrderValue", order_values),
         "q5_top_customers": charts.top_customer_bars(q5.customer_value(customers)),
         "q5_customer_segments": charts.customer_segments(customers),
         "q5_customer_revenue_hist": charts.histogram(customers, "TotalRevenue"),
@@ -69,9 +71,16 @@ def grains_of(lines: DataFrame) -> dict[str, DataFrame]:
     }
 
 
-def run_report(spark: SparkSession, data: str, output: str) -> None:
-    """Read sales lines from ``data`` and write summaries and chart data to ``output``."""
-    lines = staged(clean(load_raw(spark, data)))
+def run_report(
+    spark: SparkSession, data: str, output: str, file_format: str | None = None, multi_line: bool = False
+) -> None:
+    """Read sales lines from ``data`` and write summaries, chart data and the cleaning audit to ``output``.
+
+    The audit is counted while the cleaned lines are staged.
+    """
+    cleaned, seen = clean_with_audit(load_raw(spark, data, None, file_format, multi_line))
+    lines = staged(cleaned)
+    write_summaries({"cleaning_audit": (audit_seen(spark, seen), ["Step"])}, f"{output}/audit")
     grains = grains_of(lines)
     write_summaries(summaries(grains), f"{output}/summaries")
     write_chart_frames(chart_frames(lines, grains), f"{output}/charts")

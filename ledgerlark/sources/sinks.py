@@ -1,4 +1,4 @@
-"""Writers.  Each call is one Spark write job."""
+"""Writers.  Each table is one Spark write job."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
 from ledgerlark.functions import plain_number
+from ledgerlark.sources.sets import write_set
 
 
 def _csv_text(frame: DataFrame) -> DataFrame:
@@ -20,17 +21,21 @@ def _csv_text(frame: DataFrame) -> DataFrame:
     )
 
 
-def write_csv(frame: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header.  Leading and trailing blanks are data and are kept."""
-    (
-        _csv_text(frame)
-        .write.mode(mode)
-        .option("header", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss")
-        .csv(path)
-    )
+# Leading and trailing blanks are data and are kept; a quote inside quotes is doubled.
+CSV_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+    "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
+}
+
+
+def write_csv(
+    frame: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None
+) -> None:
+    """CSV with a header."""
+    _csv_text(frame).write.mode(mode).options(**CSV_OPTIONS).csv(path, compression=compression)
 
 
 def write_summaries(
@@ -41,16 +46,24 @@ def write_summaries(
     Each table comes with ascending sort expressions.  Only for results of bounded size
     (top-n lists, months, countries, thresholds): each is brought to one partition, and
     sorted there, before it is written.
+
+    All tables become visible to ``read_set`` at once.
     """
-    for name, (table, order) in tables.items():
-        one = table.coalesce(1).sortWithinPartitions(*[F.expr(e) for e in order])
-        write_csv(one, f"{directory}/{name}.csv")
+    write_set(
+        {
+            name: table.coalesce(1).sortWithinPartitions(*[F.expr(e) for e in order])
+            for name, (table, order) in tables.items()
+        },
+        directory, "csv", _csv_text, **CSV_OPTIONS,
+    )
 
 
 def write_chart_frames(frames: Mapping[str, DataFrame], directory: str) -> None:
-    """Write the frame behind each chart as Parquet; large ones stay partitioned."""
-    for name, frame in frames.items():
-        frame.write.mode("overwrite").parquet(f"{directory}/{name}.parquet")
+    """Write the frame behind each chart as Parquet; large ones stay partitioned.
+
+    All frames become visible to ``read_set`` at once.
+    """
+    write_set(frames, directory, "parquet")
 
 
 def append_lines(frame: DataFrame, path: str, column: str = "value") -> None:

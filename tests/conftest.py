@@ -10,7 +10,7 @@ from ledgerlark.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "tests",
         "local[8]",
@@ -19,6 +19,7 @@ def spark():
         spark__ui__showConsoleProgress="false",
         spark__sql__debug__maxToStringFields="2000",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=str(tmp_path_factory.mktemp("checkpoints")),
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session

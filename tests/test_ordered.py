@@ -1,4 +1,5 @@
 import random
+import re
 
 import numpy as np
 import pandas as pd
@@ -6,7 +7,10 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from ledgerlark.functions import MONEY
-from ledgerlark.operators.ordered import count_ranks, exact_quantiles, in_order, medians_of
+from ledgerlark.operators.ordered import (
+    RANGE, exact_quantiles, in_global_order, in_order, medians_of, ordered_values, quantiles_of_ordered,
+    spread_in_order, tied_ranks, top_in_place,
+)
 from ledgerlark.operators import profile, sequences
 
 
@@ -48,8 +52,6 @@ def test_order_per_key_with_a_hot_key_and_missing_keys(skewed, ranges):
 
 
 def test_ranges_hold_a_share_of_a_hot_key_each(skewed):
-    from ledgerlark.operators.ordered import RANGE, spread_in_order
-
     sizes = [r["count"] for r in spread_in_order(skewed, ["id"], ["key"], ranges=16).groupBy(RANGE).count().collect()]
     assert len(sizes) == 16 and max(sizes) < 2002 / 16 * 3
 
@@ -58,9 +60,37 @@ def test_order_of_an_empty_frame(skewed):
     assert in_order(skewed.limit(0), ["v", "id"], running={"s": ("sum", "v")}).count() == 0
 
 
-def test_count_ranks_share_the_lowest_rank(spark, rows):
+@pytest.mark.parametrize("ranges", [2, 3, 16, 64])
+def test_ranks_share_the_lowest_rank_over_range_borders(spark, skewed, ranges):
     frame = spark.createDataFrame([("a", 5), ("b", 3), ("c", 3), ("d", 3), ("e", 1)], "k string, n bigint")
-    assert rows(count_ranks(frame, "n", ranges=3)) == [(1, 5), (3, 2), (5, 1)]
+    got = tied_ranks(frame, ["-n"], ["k"], ranges=ranges)
+    assert sorted((r.k, r.rank) for r in got.collect()) == [("a", 1), ("b", 2), ("c", 2), ("d", 2), ("e", 5)]
+    # 1.0 is half of all rows, so its rank is carried over many ranges; null keys come first.
+    for order in (["v"], ["-v"], ["key", "v"]):
+        got = tied_ranks(skewed, order, ["id"], ranges=ranges)
+        want = skewed.select("*", F.rank().over(Window.orderBy(*[F.expr(e) for e in order])).cast("bigint").alias("rank"))
+        assert got.count() == 2002 and got.exceptAll(want).count() == 0
+    assert tied_ranks(skewed.limit(0), ["v"], ["id"]).count() == 0
+
+
+def test_ranks_join_nothing_on_the_ranked_value(spark, skewed):
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = tied_ranks(skewed, ["-v"], ["id"], ranges=9)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin [_range") == 1
+
+
+def test_quantiles_of_a_part_need_no_new_order(spark, skewed):
+    pandas = skewed.toPandas()["v"]
+    values = ordered_values(skewed, "v", ranges=5)
+    assert [tuple(r) for r in values.orderBy("value").tail(1)] == [(7.0, int((pandas == 7).sum()), 2002)]
+    part = pandas[pandas <= 3.25]
+    got = quantiles_of_ordered(values.filter("value <= 3.25"), {"a": 0.25, "b": 0.6, "c": 0.99, "d": 1.0}).first()
+    assert list(got) == [part.quantile(p) for p in (0.25, 0.6, 0.99, 1.0)]
+    assert list(quantiles_of_ordered(values.limit(0), {"a": 0.5}).first()) == [None]
 
 
 @pytest.mark.parametrize("n", [1, 2, 5, 1000])
@@ -96,10 +126,11 @@ def test_sliding_windows_cross_blocks(skewed, block_rows):
     assert found == want
 
 
-def test_runs_of_equal_values(skewed):
+@pytest.mark.parametrize("ranges", [2, 9, 64, 500])
+def test_runs_of_equal_values(skewed, ranges):
     got = sorted(
         (r.key or "-", r.v, r.first_position, r.length)
-        for r in sequences.consecutive_runs(skewed, "key", ["id"], "v", ranges=9).collect()
+        for r in sequences.consecutive_runs(skewed, "key", ["id"], "v", ranges=ranges).collect()
     )
     want = []
     for key, values in skewed.toPandas().fillna({"key": "-"}).sort_values("id").groupby("key")["v"]:
@@ -110,6 +141,25 @@ def test_runs_of_equal_values(skewed):
     assert got == sorted(want)
 
 
+def test_a_run_over_many_ranges_is_one_run(spark, rows):
+    """Values 1 (50 times), null (700), 2 (1), null (49), 1 (200) of one key, and a second key."""
+    values = [1] * 50 + [None] * 700 + [2] + [None] * 49 + [1] * 200
+    data = [(i, "a", v) for i, v in enumerate(values)] + [(5_000 + i, "b", 1) for i in range(300)]
+    frame = spark.createDataFrame(data, "id bigint, key string, v int")
+    want = [("a", None, 51, 700), ("a", None, 752, 49), ("a", 1, 1, 50), ("a", 1, 801, 200), ("a", 2, 751, 1), ("b", 1, 1, 300)]
+    for ranges in (2, 7, 60, 400):
+        placed = spread_in_order(frame, ["id"], ["key"], ranges)
+        reached = {r[RANGE] for r in placed.filter("key = 'a' AND id BETWEEN 50 AND 749").select(RANGE).distinct().collect()}
+        assert ranges < 60 or len(reached) > 3
+        got = sequences.consecutive_runs(frame, "key", ["id"], "v", ranges=ranges)
+        assert rows(got) == want
+    # The rows themselves are shuffled once; their second use is that same shuffle.
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(_range" in line]
+    assert ["ReusedExchange" in line for line in shuffles].count(False) == 1 and len(shuffles) == 2
+
+
 def test_running_product_and_pages(spark, skewed, rows):
     small = spark.createDataFrame([(i, "a", float(i)) for i in range(1, 6)], "id bigint, key string, v double")
     got = sequences.running_values(small, "key", ["id"], "v", ranges=3).orderBy("id").collect()
@@ -181,7 +231,25 @@ def test_no_join_on_a_column_name(spark):
     finally:
         for k, v in held.items():
             spark.conf.set(k, v)
-    import re
-
     for keys in re.findall(r"SortMergeJoin(?:\(skew=true\))? \[([^]]*)\]", plan):
         assert "_range" in keys or "_r" in keys
+
+
+@pytest.mark.parametrize("ranges", [2, 16])
+def test_rows_come_in_order_with_their_place(skewed, ranges):
+    got = in_global_order(skewed, ["-v", "id"], ranges=ranges).collect()
+    assert [r.place for r in got] == list(range(1, 2003))
+    assert [(-r.v, r.id) for r in got] == sorted((-r.v, r.id) for r in got)
+    short = top_in_place(skewed.orderBy("id").limit(5), ["-id"]).collect()
+    assert [(r.id, r.place) for r in short] == [(4, 1), (3, 2), (2, 3), (1, 4), (0, 5)]
+    assert top_in_place(skewed.limit(0), ["id"]).collect() == []
+
+
+def test_duplicates_are_folded_by_hash(spark):
+    data = [(None, "a", 1.0), ("a", None, 1.0), ("a", None, 1.0), (None, "a", 1.0), (None, "a", 1.0), ("b", "c", 0.0), ("b", "c", -0.0)]
+    frame = spark.createDataFrame(data, "x string, y string, z double")
+    assert profile.duplicate_rows(frame).first()[0] == 4
+    assert profile.duplicate_rows(frame.limit(0)).first()[0] == 0
+    # What every row sends is its hash; whole rows go only after the semi-join.
+    plan = profile.duplicate_rows(frame)._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"Exchange hashpartitioning\(_a#\d+L, _b#\d+L, \d+\)[^\n]*\n[^\n]*HashAggregate\(keys=\[_a#\d+L, _b#\d+L\], functions=\[partial_count", plan)

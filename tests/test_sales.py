@@ -102,7 +102,8 @@ def test_one_customer_and_flat_season(spark, rows):
     visits = q5.visits_of(lines)
     customers = q5.customers_of(visits)
     assert tuple(q5.customer_pareto(customers).first()) == (1, 1, 100.0)
-    season = rows(q5.vip_season(visits, customers))
+    season = rows(q5.vip_season(visits, customers), "YearMonth", "vip_norm", "non_vip_norm")
+    assert {r.VIPs for r in q5.vip_season(visits, customers).collect()} == {0}
     assert season == [("2011-01", None, 0.0), ("2011-02", None, 0.0)]
 
 
