@@ -1,82 +1,88 @@
 """How far the sources of a language differ in the words they use.
 
-Documents become exact sparse vectors by a CountVectorizer: its terms carry the language,
-so one fit holds the vocabulary of each language apart, with ``min_docs`` as minDF and the
-largest integer as vocabSize.  The vectors of each (lang, source) are added entry by
-entry, and the divergence of two sources is summed from the entries that either has; what
-neither has is one product.
-
-The terms are cut into shards of about ``most_terms``, each with a CountVectorizer of its
-own, which bounds the vocabulary that the driver and the tasks hold.
+Each language has the vocabulary a count vectoriser with ``min_docs`` as minDF and no limit
+of size would give it, and each document is counted over its terms exactly.  The counts are
+added up per (lang, source) where they arise: a task holds the running sums of its groups,
+and the document frequencies beside them, and passes them on when they grow too many.  One
+shuffle by (lang, term) then gives sums, frequencies and vocabulary at once; the
+vocabulary stays a table and is never gathered in one place.
+
+The divergence of two sources is summed from the terms that either has; what neither has
+is one product.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizer
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from ledgerlark.llm.reversed_search import term_bytes, term_slices
 from ledgerlark.llm.shared import stage, table
 
-LETTERS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
-MOST_TERMS = 500_000
 ONE = 1_000_000_000
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-# Stands between language and term; terms hold no control character.
-_MARK = "\0"
-
-
-def _terms(docs: DataFrame) -> DataFrame:
-    """``(lang, source, terms)`` of every document, each term with its language in front."""
+# Letters: a-z after lower-casing, and all bytes of characters beyond ASCII.
+_LETTERS = term_bytes(b"abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100)))
+# Running sums that a task holds before it passes them on.
+MOST_SUMS = 400_000
+
+
+def _sums(most_sums: int):
+    """Documents to (lang, source, term, count, docs), added up within the task."""
+
+    def passed_on(groups: dict[tuple[str, str], tuple[Counter, Counter]]) -> Iterator[pa.RecordBatch]:
+        for (lang, source), (counts, docs) in groups.items():
+            terms = list(counts)
+            for a in range(0, len(terms), 50_000):
+                part = terms[a : a + 50_000]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([lang] * len(part)), pa.array([source] * len(part)),
+                        pa.array(part, pa.binary()).cast(pa.string()),
+                        pa.array(np.fromiter(map(counts.__getitem__, part), np.int64, len(part))),
+                        pa.array(np.fromiter(map(docs.__getitem__, part), np.int64, len(part))),
+                    ],
+                    ["lang", "source", "term", "count", "docs"],
+                )
+
+    def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        held = 0
+        for batch in batches:
+            langs, sources = batch.column("lang").to_pylist(), batch.column("source").to_pylist()
+            for lang, source, text in zip(langs, sources, batch.column("text"), strict=True):
+                counts, docs = groups.setdefault((lang, source), (Counter(), Counter()))
+                before, once = len(counts), set()
+                for terms in term_slices(text.as_py(), _LETTERS):
+                    counts.update(terms)
+                    once.update(terms)
+                docs.update(once)
+                held += len(counts) - before
+                if held > most_sums:
+                    yield from passed_on(groups)
+                    groups, held = {}, 0
+        yield from passed_on(groups)
+
+    return summed
+
+
+def group_counts(docs: DataFrame, min_docs: int = 3, most_sums: int = MOST_SUMS) -> tuple[DataFrame, DataFrame]:
+    """``(lang, source)`` groups, and ``(lang, source, term, count)`` of kept terms, counts above 0."""
     plain = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source", "text")])
-    terms = F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(LETTERS), F.lit(0))
-    return plain.select("lang", "source", F.transform(terms, lambda t: F.concat("lang", F.lit(_MARK), t)).alias("terms"))
-
-
-def _shard_counts(rows: DataFrame, min_docs: int) -> DataFrame:
-    """``(lang, source, term, count)`` of the terms that ``min_docs`` documents of their language hold."""
-    spark = rows.sparkSession
-    # A term that no document can hold keeps the vocabulary from being empty.
-    mark = spark.range(min_docs).select(F.array(F.lit(_MARK)).alias("terms"))
-    model = CountVectorizer(
-        inputCol="terms", outputCol="vector", minDF=float(min_docs), vocabSize=2**31 - 1
-    ).fit(rows.select("terms").unionByName(mark))
-    entries = F.unwrap_udt("vector")
-    added = (
-        model.transform(rows).select("source", entries.alias("v"))
-        .select("source", F.explode(F.arrays_zip("v.indices", "v.values")).alias("e"))
-        .groupBy("source", F.col("e.indices").alias("at")).agg(F.sum(F.col("e.values").cast("bigint")).alias("count"))
+    groups = stage(plain.select("lang", "source").distinct())
+    sums = plain.withColumn("text", F.col("text").cast("binary")).mapInArrow(
+        _sums(most_sums), "lang string, source string, term string, count long, docs long"
     )
-    # Bounded by ``most_terms``; the places are those of the model's vectors.
-    words = spark.createDataFrame(list(enumerate(model.vocabulary)), "at int, word string").filter(F.col("word") != _MARK)
-    return stage(added.join(words, "at").select(
-        F.expr(f"left(word, length(word) - length(substring_index(word, '{_sql(_MARK)}', -1)) - 1)").alias("lang"),
-        "source", F.substring_index("word", _MARK, -1).alias("term"), "count",
-    ))
-
-
-def _sql(mark: str) -> str:
-    return f"\\u{ord(mark):04x}"
-
-
-def group_counts(docs: DataFrame, min_docs: int = 3, most_terms: int = MOST_TERMS) -> tuple[DataFrame, DataFrame]:
-    """``(lang, source)`` groups, and ``(lang, source, term, count)`` with counts above 0."""
-    rows = stage(_terms(docs))
-    groups = stage(rows.select("lang", "source").distinct())
-    distinct = rows.select(F.explode("terms").alias("t")).agg(F.approx_count_distinct("t")).first()[0]
-    shards = max(1, -(-distinct // most_terms))
-    if shards == 1:
-        return groups, _shard_counts(rows, min_docs)
-    # Written shard by shard, so that each fit reads its own terms only.
-    of_shard = F.transform(
-        F.sequence(F.lit(0), F.lit(shards - 1)),
-        lambda s: F.filter("terms", lambda t: F.pmod(F.xxhash64(t), F.lit(shards)) == s),
+    # All that follows is grouped by (lang, term) at least, so this is the only shuffle.
+    added = sums.repartition("lang", "term").groupBy("lang", "term", "source").agg(
+        F.sum("count").alias("count"), F.sum("docs").alias("docs")
     )
-    cut = stage(rows.select("lang", "source", F.posexplode(of_shard).alias("shard", "terms")), by=["shard"])
-    counts = None
-    for s in range(shards):
-        found = _shard_counts(cut.filter(F.col("shard") == s).select("lang", "source", "terms"), min_docs)
-        counts = found if counts is None else counts.unionByName(found)
-    return groups, counts
+    in_lang = F.sum("docs").over(Window.partitionBy("lang", "term"))
+    kept = added.withColumn("in_lang", in_lang).filter(F.col("in_lang") >= min_docs)
+    return groups, kept.select("lang", "source", "term", "count")
 
 
 def _share(count: Column | str, total: str, terms: str) -> Column:
@@ -92,7 +98,7 @@ def _gap(p: str, q: str) -> Column:
 
 
 def divergences(
-    docs: DataFrame, min_docs: int = 3, most_ranks: int = 200, most_terms: int = MOST_TERMS
+    docs: DataFrame, min_docs: int = 3, most_ranks: int = 200, most_sums: int = MOST_SUMS
 ) -> DataFrame:
     """``(lang, source, part, item, value, rank)`` for every (lang, source) of ``docs``.
 
@@ -108,7 +114,7 @@ def divergences(
     group occur; a language without kept terms has pairs with value 0.  Repeated rows are
     documents of their own.  Other columns are ignored.  An empty table gives no rows.
     """
-    groups, counts = group_counts(docs, min_docs, most_terms)
+    groups, counts = group_counts(docs, min_docs, most_sums)
     counts = stage(counts)
     in_lang = stage(counts.groupBy("lang", "term").agg(F.sum("count").alias("all")))
     langs = in_lang.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("all").alias("lang_n"))

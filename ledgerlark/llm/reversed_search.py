@@ -25,14 +25,21 @@ from ledgerlark.llm.shared import stage, table, text_of
 
 # ASCII letters in lower case, digits and all bytes of other characters; the rest parts terms.
 _KEPT = b"0123456789abcdefghijklmnopqrstuvwxyz" + bytes(range(0x80, 0x100))
-_TERM_BYTES = bytes(b if b in _KEPT else 0x20 for b in bytes(range(256)).lower())
+
+
+def term_bytes(kept: bytes) -> bytes:
+    """A table for ``bytes.translate``: A-Z in lower case, and a blank for all that is not kept."""
+    return bytes(b if b in kept else 0x20 for b in bytes(range(256)).lower())
+
+
+_TERM_BYTES = term_bytes(_KEPT)
 _SLICE = 1 << 20
 _CELLS, _STEPS = 1 << 22, 1 << 21
 
 
-def term_slices(text: bytes) -> Iterator[list[bytes]]:
+def term_slices(text: bytes, table: bytes = _TERM_BYTES) -> Iterator[list[bytes]]:
     """All terms of a text, a megabyte of it at a time."""
-    clean = text.translate(_TERM_BYTES)
+    clean = text.translate(table)
     at = 0
     while at < len(clean):
         end = clean.find(b" ", at + _SLICE)

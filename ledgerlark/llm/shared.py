@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ledgerlark.operators.settle import settle, use_checkpoint_folder
+from ledgerlark.operators.settle import settle
 
 __all__ = ["attach", "keep_runs", "packed", "settle", "stage", "table", "text_of", "unpacked", "with_document_key", "with_text_key"]
 
@@ -16,18 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stage(frame: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+def stage(frame: DataFrame) -> DataFrame:
     """Write ``frame`` once as Parquet in the shared checkpoint folder and read it back.
 
-    Columns in ``by`` become folders, so that a filter on them reads only its own.
-
     Unlike a checkpoint the copy is columnar and compressed, so readers take only the
     columns they need.
     """
-    spark = frame.sparkSession
-    path = f"{use_checkpoint_folder(spark).rstrip('/')}/stage-{uuid.uuid4().hex}"
-    frame.write.option("compression", "zstd").partitionBy(*by).parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return settle(frame, compression="zstd")
 
 
 def text_of(column: str = "text") -> Column:
