@@ -10,9 +10,12 @@ each term overall and in each block.  Every passage of every document is a query
 3. what is left is scored exactly, and all items at or above the threshold are kept;
 4. a kept item must also share enough word runs of its question and of its answer.
 
-Passages overlap and are twice as long as the longest item, so each occurrence of an item
-lies inside one.  Items are taken in shards of bounded size, one pass over the documents
-for each; a shard is what is sent to every task.
+Passages overlap, and each item is searched in passages that follow from its own length:
+steps of its number of words, rounded up to a power of two, and twice as long.  So each
+occurrence lies inside one, and no other item changes what is found.  Items of one length
+class share an index.  All classes are searched in one pass over the documents; only where
+items have more than ``most_postings`` (item, term) pairs, the bound of what the driver and
+a task hold, there is a pass for each further portion of them.
 """
 
 from __future__ import annotations
@@ -24,7 +27,6 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
 from ledgerlark.llm.shared import stage, table, text_of
 from ledgerlark.llm.words import hashed_words, text_batches, word_runs
@@ -60,7 +62,9 @@ class Shard:
     item: np.ndarray  # postings: item number
     impact: np.ndarray  # postings: share of the item's own score
     list_max: np.ndarray  # largest impact of each term
-    block_max: np.ndarray  # and in each block of items
+    block_first: np.ndarray  # where each term's blocks begin
+    block: np.ndarray  # blocks of items that hold the term
+    block_max: np.ndarray  # and its largest impact in each
     ids: list
     parts: list  # of question and answer, each as from _part()
     half: int  # words from one passage to the next; a passage has twice as many
@@ -72,10 +76,27 @@ def build_shard(term: np.ndarray, item: np.ndarray, impact: np.ndarray, ids: lis
     terms, first = np.unique(term, return_index=True)
     first = np.append(first, len(term))
     at = np.repeat(np.arange(len(terms)), np.diff(first))
-    block_max = np.zeros((len(terms), -(-len(ids) // BLOCK_ITEMS)), np.float32)
-    np.maximum.at(block_max, (at, item // BLOCK_ITEMS), np.nextafter(impact, 2).astype(np.float32) * np.float32(1.00001))
+    blocks = -(-len(ids) // BLOCK_ITEMS)
+    cell, begin = np.unique(at * blocks + item // BLOCK_ITEMS, return_index=True)
+    block_max = np.maximum.reduceat(impact, begin) if len(begin) else impact
+    block_first = np.searchsorted(cell // max(blocks, 1), np.arange(len(terms) + 1))
+    list_max = np.maximum.reduceat(impact, first[:-1]) if len(terms) else impact
     parts = [tuple(_part(p) for p in question_and_answer(t)) for t in texts]
-    return Shard(terms, first, item, impact, block_max.max(axis=1, initial=0), block_max, ids, parts, max(longest, 8))
+    return Shard(
+        terms, first, item, impact, list_max, block_first, cell % max(blocks, 1), block_max, ids, parts, max(longest, 8)
+    )
+
+
+def length_class(words: int) -> int:
+    """Words of an item rounded up to a power of two, 8 at least."""
+    return 1 << max(3, (words - 1).bit_length())
+
+
+def _spread(first: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices of all entries of the lists ``of``, and the position in ``of`` of each."""
+    many = first[of + 1] - first[of]
+    at = np.repeat(np.arange(len(of)), many)
+    return np.repeat(first[of] - (np.cumsum(many) - many), many) + np.arange(many.sum()), at
 
 
 def _share(part: tuple[bool, np.ndarray], passage: tuple[np.ndarray, np.ndarray]) -> float:
@@ -85,13 +106,19 @@ def _share(part: tuple[bool, np.ndarray], passage: tuple[np.ndarray, np.ndarray]
 
 def matches(texts: list[str], shard: Shard, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
     """``(text, item number, score, question overlap, answer overlap)``, best passage each."""
-    words, number = hashed_words(texts)
+    return _matches(hashed_words(texts), len(texts), shard, threshold, overlap)
+
+
+def _matches(
+    hashed: tuple[np.ndarray, np.ndarray], n_texts: int, shard: Shard, threshold: float, overlap: float
+) -> list[tuple[int, int, float, float, float]]:
+    words, number = hashed
     size = len(shard.terms)
     if not len(words) or not size:
         return []
     at = np.minimum(np.searchsorted(shard.terms, words), size - 1)
     known = shard.terms[at] == words
-    heads = np.searchsorted(number, np.arange(len(texts) + 1))
+    heads = np.searchsorted(number, np.arange(n_texts + 1))
     lengths = np.diff(heads)
     base = (np.arange(len(words)) - heads[number]) // shard.half
     passages = np.maximum(-(-lengths // shard.half) - 1, 1)
@@ -107,29 +134,24 @@ def matches(texts: list[str], shard: Shard, threshold: float, overlap: float) ->
     if not len(key):
         return []
 
-    def sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        begin = np.flatnonzero(np.diff(passage, prepend=-1))
-        return passage[begin], np.add.reduceat(values, begin, axis=0)
-
     slack = threshold - 1e-6
-    names, bound = sums(shard.list_max[term].astype(np.float64))
-    alive = np.isin(passage, names[bound >= slack])
+    names, row = np.unique(passage, return_inverse=True)
+    alive = (np.bincount(row, shard.list_max[term]) >= slack)[row]
     passage, term = passage[alive], term[alive]
     if not len(term):
         return []
-    names, bound = sums(shard.block_max[term])
-    open_blocks = bound >= slack
-    row = np.searchsorted(names, passage)
-    alive = open_blocks.any(axis=1)[row]
-    row, term = row[alive], term[alive]
-    if not len(term):
+    # Blocks whose maxima add up to the threshold.
+    names, row = np.unique(passage, return_inverse=True)
+    blocks = -(-len(shard.ids) // BLOCK_ITEMS)
+    entry, at_term = _spread(shard.block_first, term)
+    cell, back = np.unique(row[at_term] * blocks + shard.block[entry], return_inverse=True)
+    open_cells = cell[np.bincount(back, shard.block_max[entry]) >= slack]
+    if not len(open_cells):
         return []
     # Exact scores of the items in open blocks.
-    many = shard.first[term + 1] - shard.first[term]
-    posting = np.repeat(shard.first[term] - np.concatenate([[0], np.cumsum(many)[:-1]]), many) + np.arange(many.sum())
-    row = np.repeat(row, many)
-    item = shard.item[posting]
-    wanted = open_blocks[row, item // BLOCK_ITEMS]
+    posting, at_term = _spread(shard.first, term)
+    row, item = row[at_term], shard.item[posting]
+    wanted = np.isin(row * blocks + item // BLOCK_ITEMS, open_cells)
     pair, back = np.unique(row[wanted] * len(shard.ids) + item[wanted], return_inverse=True)
     score = np.bincount(back, shard.impact[posting[wanted]], len(pair))
     good = score >= threshold - 1e-9
@@ -149,38 +171,48 @@ def matches(texts: list[str], shard: Shard, threshold: float, overlap: float) ->
     return [(t, i, *found) for (t, i), found in sorted(best.items())]
 
 
-def _item_terms(items: DataFrame) -> DataFrame:
-    kind = items.schema["item_id"].dataType.simpleString()
-
-    def terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first, texts in text_batches(batch.column("text").to_pylist()):
-                words, number = hashed_words(texts)
-                pair, tf = np.unique(np.stack([number.astype(np.int64), words.astype(np.int64)]), axis=1, return_counts=True)
-                total = np.bincount(number, minlength=len(texts))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("item_id").slice(first, len(texts)).take(pa.array(pair[0])),
-                        pa.array(pair[1]), pa.array(tf.astype(np.int64)), pa.array(total[pair[0]].astype(np.int64)),
-                    ],
-                    ["item_id", "term", "tf", "words"],
-                )
-
-    return items.select("item_id", "text").mapInArrow(terms, f"item_id {kind}, term long, tf long, words long")
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for first, texts in text_batches(batch.column("text").to_pylist()):
+            words, number = hashed_words(texts)
+            pair, tf = np.unique(np.stack([number.astype(np.int64), words.astype(np.int64)]), axis=1, return_counts=True)
+            total = np.bincount(number, minlength=len(texts))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("item").slice(first, len(texts)).take(pa.array(pair[0])),
+                    pa.array(pair[1]), pa.array(tf.astype(np.int64)), pa.array(total[pair[0]].astype(np.int64)),
+                ],
+                ["item", "term", "tf", "words"],
+            )
 
 
 def impacts(items: DataFrame) -> DataFrame:
-    """``(item_id, term, impact, words)``: BM25 over all items, divided by the item's own score."""
-    terms = stage(_item_terms(items))
-    sizes = terms.select("item_id", "words").distinct()
+    """``(item, term, impact, words)`` of ``(item, text)``: BM25 over all items, divided by the item's own score."""
+    terms = stage(items.select("item", "text").mapInArrow(_item_terms, "item long, term long, tf long, words long"))
+    sizes = terms.select("item", "words").distinct()
     n, mean = sizes.agg(F.count(F.lit(1)).alias("n"), F.avg("words").alias("m")).first()
     df = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     idf = F.log(1 + (F.lit(float(n)) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     length = F.lit(1 - B) + F.lit(B) * F.col("words") / F.lit(float(mean or 1.0))
     weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * length)
-    scored = terms.join(df, "term").select("item_id", "term", "words", weight.alias("w"))
-    own = scored.groupBy("item_id").agg(F.sum("w").alias("own"))
-    return scored.join(own, "item_id").select("item_id", "term", "words", (F.col("w") / F.col("own")).alias("impact"))
+    scored = terms.join(df, "term").select("item", "term", "words", weight.alias("w"))
+    own = scored.groupBy("item").agg(F.sum("w").alias("own"))
+    return scored.join(own, "item").select("item", "term", "words", (F.col("w") / F.col("own")).alias("impact"))
+
+
+def _index(weights: DataFrame, named: DataFrame) -> list[Shard]:
+    """The items of ``weights`` in one index per length class."""
+    rows = weights.toPandas()
+    rows["half"] = rows["words"].map(length_class)
+    texts = {r.item: r.text for r in named.select("item", "text").toLocalIterator()}
+    shards = []
+    for half, part in rows.groupby("half"):
+        ids, number = np.unique(part["item"].to_numpy(), return_inverse=True)
+        shards.append(build_shard(
+            part["term"].to_numpy(np.int64).astype(np.uint64), number, part["impact"].to_numpy(np.float64),
+            ids.tolist(), [texts[i] for i in ids.tolist()], int(half),
+        ))
+    return shards
 
 
 def contaminated(
@@ -188,7 +220,7 @@ def contaminated(
     items: DataFrame,
     threshold: float = 0.6,
     overlap: float = 0.5,
-    shard_items: int = 2_048,
+    most_postings: int = 2_000_000,
     carry: tuple[str, ...] = ("doc_id",),
 ) -> DataFrame:
     """``(*carry, item_id, score, question_overlap, answer_overlap)`` of every item found in a document.
@@ -197,53 +229,50 @@ def contaminated(
     the best passage as a share of the item's own; the overlaps are shares of the
     three-word runs of the item's question and answer that the passage holds.
 
-    Null or empty text on either side finds nothing, as do items without a word and items
-    with a null item_id, which could not be named.  Items are told apart by item_id; of
-    several texts with one id the smallest is used.  Documents are told apart by ``carry`` and get each
-    item once.  Other columns are ignored.  Empty tables give no rows.
+    Null or empty text on either side finds nothing, as do items without a word.  Rows of
+    ``items`` are searched one by one, whatever their ids: of several texts with one id, a
+    null one included, the result has the best that a document holds.  Documents are told
+    apart by ``carry`` and get each item_id once.  Texts are searched whole, however long.
+    Other columns are ignored.  Empty tables give no rows.
     """
     spark = docs.sparkSession
-    usable = items.filter("item_id IS NOT NULL").select("item_id", text_of().alias("text")).groupBy("item_id").agg(F.min("text").alias("text"))
-    weights = stage(impacts(usable))
-    n_items = weights.select("item_id").distinct().count()
-    shards = max(1, -(-n_items // shard_items))
-    shard = F.pmod(F.xxhash64(F.lit("shard"), "item_id"), F.lit(shards))
-    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in [*(docs.schema[c] for c in carry), items.schema["item_id"]]]
-    schema = f"{', '.join(kinds)}, score double, question_overlap double, answer_overlap double"
+    named = stage(
+        items.select("item_id", text_of().alias("text")).distinct()
+        .withColumn("item", F.xxhash64("item_id", "text"))
+    )
+    weights = stage(impacts(named))
+    portions = max(1, -(-weights.count() // most_postings))
+    portion = F.pmod(F.xxhash64(F.lit("portion"), "item"), F.lit(portions))
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in (docs.schema[c] for c in carry)]
+    schema = ", ".join([*kinds, "item long, score double, question_overlap double, answer_overlap double"])
     all_found = None
-    for s in range(shards):
-        # About ``shard_items`` items: the bound of what the driver and each task hold.
-        rows = weights.filter(shard == s).toPandas()
-        texts = {r.item_id: r.text for r in usable.filter(shard == s).toLocalIterator()}
-        ids = sorted(rows["item_id"].unique().tolist())
-        numbers = {v: i for i, v in enumerate(ids)}
-        sent = spark.sparkContext.broadcast(build_shard(
-            rows["term"].to_numpy(np.int64).astype(np.uint64),
-            np.array([numbers[v] for v in rows["item_id"]], np.int64),
-            rows["impact"].to_numpy(np.float64), ids, [texts[v] for v in ids],
-            int(rows["words"].max()) if len(rows) else 0,
-        ))
+    for p in range(portions):
+        sent = spark.sparkContext.broadcast(_index(weights.filter(portion == p), named.filter(portion == p)))
 
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for first, texts in text_batches(batch.column("text").to_pylist()):
-                    found = matches(texts, sent.value, threshold, overlap)
-                    if found:
-                        t, i, *numbers = zip(*found, strict=True)
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                *[batch.column(c).take(pa.array([first + x for x in t])) for c in carry],
-                                pa.array([sent.value.ids[x] for x in i], item_kind),
-                                *[pa.array(x, pa.float64()) for x in numbers],
-                            ],
-                            [*carry, "item_id", "score", "question_overlap", "answer_overlap"],
-                        )
-
-        item_kind = to_arrow_type(items.schema["item_id"].dataType)
+                    hashed = hashed_words(texts)
+                    for shard in sent.value:
+                        found = _matches(hashed, len(texts), shard, threshold, overlap)
+                        if found:
+                            t, i, *numbers = zip(*found, strict=True)
+                            yield pa.RecordBatch.from_arrays(
+                                [
+                                    *[batch.column(c).take(pa.array([first + x for x in t])) for c in carry],
+                                    pa.array([shard.ids[x] for x in i], pa.int64()),
+                                    *[pa.array(x, pa.float64()) for x in numbers],
+                                ],
+                                [*carry, "item", "score", "question_overlap", "answer_overlap"],
+                            )
+
         found = docs.select(*carry, "text").mapInArrow(search, schema)
         all_found = found if all_found is None else all_found.unionByName(found)
     best = F.max(F.struct("score", "question_overlap", "answer_overlap"))
-    return all_found.groupBy(*carry, "item_id").agg(best.alias("b")).select(*carry, "item_id", "b.*")
+    return (
+        all_found.join(named.select("item", "item_id"), "item")
+        .groupBy(*carry, "item_id").agg(best.alias("b")).select(*carry, "item_id", "b.*")
+    )
 
 
 def decontaminate_query(spark: SparkSession, sf_dir: str) -> DataFrame:
