@@ -5,12 +5,16 @@ same line as an entity tells something about it; how much is measured over the w
 corpus, as pointwise mutual information relative to the entity's own information
 content:
 
-    disclosure(entity, term) = log(n_et * N / (n_e * n_t)) / log(N / n_e)
+    disclosure(entity, term) = log(p * N / n_e) / log(N / n_e)
 
 ``N`` is the number of lines, ``n_e``, ``n_t``, ``n_et`` the lines that hold the entity, the
-term, and both.  It is 1 when the term never occurs without the entity and 0 when it
-says nothing.  Terms at or above ``remove_at`` are removed and those at or above
-``generalise_at`` become a class mark, in every document that holds the entity.
+term, and both.  ``p`` is how likely a line with the term holds the entity: not the plain
+share ``n_et / n_t``, which would be 1 for every word that occurs once, but the lower end of
+its 95 % confidence interval (Wilson, one-sided).  So any entity and any term counts, on
+however few lines, and few lines weigh little.  1 would mean that the term is only ever
+seen with the entity, 0 that it says nothing.  Terms at or above ``remove_at`` are removed
+and those at or above ``generalise_at`` become a class mark, in every document that holds
+the entity.
 
 Only DataFrame functions are used, so everything stays in the JVM.
 """
@@ -37,6 +41,9 @@ PATTERNS = {
 _NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 _PART = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 TERM = r"[\p{L}\p{N}]+"
+REMOVE_AT, GENERALISE_AT = 0.9, 0.75
+# One-sided 95 %.
+Z = 1.645
 _SPAN = "array<struct<kind:string,start:int,end:int,text:string>>"
 
 
@@ -126,24 +133,30 @@ def _terms(text: Column) -> Column:
     return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
 
 
+def surely(n_et: str, n_t: str) -> Column:
+    """Lower end of the confidence interval of the share ``n_et / n_t`` (Wilson's score)."""
+    n, share = F.col(n_t).cast("double"), F.col(n_et) / F.col(n_t).cast("double")
+    z2 = Z * Z
+    middle = share + z2 / (2 * n)
+    spread = Z * F.sqrt(share * (1 - share) / n + z2 / (4 * n * n))
+    return (middle - spread) / (1 + z2 / n)
+
+
 def disclosing_terms(
-    docs: DataFrame,
-    found: DataFrame,
-    min_support: int = 3,
-    remove_at: float = 0.9,
-    generalise_at: float = 0.75,
-) -> DataFrame:
-    """``(entity, term, remove)``: terms that give an entity away.
-
-    ``docs`` are all documents, ``found`` those that hold base spans.  A pair needs
-    ``min_support`` different lines, so that copies of one line prove nothing.
+    docs: DataFrame, found: DataFrame, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT
+) -> tuple[DataFrame, DataFrame]:
+    """``(entity, a, b)`` and ``(a, b, term, remove)``: terms that give an entity away.
+
+    ``docs`` are all documents, ``found`` those that hold base spans.  Entities that stand
+    on the same lines have the same terms, so they are one set, named (a, b); a line with
+    thousands of entities is then a row for each of its terms and not for each pair.
     """
     lines = docs.select(F.explode(F.split("text", "\n", -1)).alias("line"))
     # Counted over the whole corpus; both fold before they are shuffled.
     counts = lines.select(F.explode(_terms(F.col("line"))).alias("term")).groupBy("term").agg(
         F.count(F.lit(1)).alias("n_t")
     )
-    total = lines.agg(F.count(F.lit(1))).scalar()
+    total = lines.agg(F.count(F.lit(1))).scalar().cast("double")
 
     near = with_base_spans(
         found.select(F.explode(F.split("text", "\n", -1)).alias("line")), "line"
@@ -151,33 +164,46 @@ def disclosing_terms(
     rest = F.col("line")
     for kind in KINDS:
         rest = F.regexp_replace(rest, PATTERNS[kind], " ")
-    near = near.select(
+    near = stage(near.select(
         F.xxhash64("line").alias("l1"), F.xxhash64(F.lit("second"), F.col("line")).alias("l2"),
         F.array_distinct(F.transform("spans", _entity)).alias("entities"), _terms(rest).alias("terms"),
     ).groupBy("l1", "l2").agg(
         F.count(F.lit(1)).alias("copies"), F.first("entities").alias("entities"), F.first("terms").alias("terms")
+    ))
+    # An entity's lines by their hashes, in any order.
+    entities = stage(
+        near.select("l1", "l2", "copies", F.explode("entities").alias("entity"))
+        .groupBy("entity").agg(F.bit_xor("l1").alias("a"), F.bit_xor("l2").alias("b"), F.sum("copies").alias("n_e"))
+    )
+    sets = stage(
+        near.select("l1", "l2", "copies", F.explode("entities").alias("entity"))
+        .join(entities, "entity").groupBy("a", "b", "l1", "l2").agg(F.max("n_e").alias("n_e"), F.max("copies").alias("copies"))
     )
-    held = near.select("copies", "terms", F.explode("entities").alias("entity"))
-    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    pairs = held.select("copies", "entity", F.explode("terms").alias("term")).groupBy("entity", "term").agg(
-        F.sum("copies").alias("n_et"), F.count(F.lit(1)).alias("support")
-    ).filter(F.col("support") >= min_support)
-    known = pairs.join(entities, "entity").join(counts, "term").select("*", total.cast("double").alias("n"))
-    share = F.try_divide(
-        F.log(F.col("n_et") * F.col("n") / (F.col("n_e").cast("double") * F.col("n_t"))),
-        F.log(F.col("n") / F.col("n_e")),
+    most = sets.groupBy("l1", "l2").agg(F.max("n_e").alias("most"))
+    # A term on more lines than this cannot reach the threshold for any entity of the line.
+    rare = F.col("n_t") <= F.pow(F.col("most").cast("double"), F.lit(generalise_at)) * F.pow(
+        F.col("n"), F.lit(1 - generalise_at)
     )
-    return known.select("entity", "term", F.round(share, 9).alias("disclosure")).filter(
+    terms = (
+        near.select("l1", "l2", F.explode("terms").alias("term")).join(counts, "term").join(most, ["l1", "l2"])
+        .withColumn("n", total).filter(rare).select("l1", "l2", "term", "n_t", "n")
+    )
+    pairs = sets.join(terms, ["l1", "l2"]).groupBy("a", "b", "n_e", "term", "n_t", "n").agg(F.sum("copies").alias("n_et"))
+    alone = F.col("n") / F.col("n_e")
+    share = F.try_divide(F.log(surely("n_et", "n_t") * alone), F.log(alone))
+    disclosed = pairs.select("a", "b", "term", F.round(share, 9).alias("disclosure")).filter(
         F.col("disclosure") >= generalise_at
-    ).select("entity", "term", (F.col("disclosure") >= remove_at).alias("remove"))
+    )
+    return entities.select("entity", "a", "b"), disclosed.select("a", "b", "term", (F.col("disclosure") >= remove_at).alias("remove"))
 
 
-def term_spans(found: DataFrame, disclosed: DataFrame) -> DataFrame:
+def term_spans(found: DataFrame, entities: DataFrame, disclosed: DataFrame) -> DataFrame:
     """``(doc_id, _t, terms)``: where disclosing terms stand outside of base spans."""
     keyed = found.select("doc_id", "_t", F.concat(*KINDS).alias("base"), "text").dropDuplicates(["doc_id", "_t"])
     owed = (
         keyed.select("doc_id", "_t", F.explode(F.array_distinct(F.transform("base", _entity))).alias("entity"))
-        .join(disclosed, "entity")
+        .join(entities, "entity").select("doc_id", "_t", "a", "b").distinct()
+        .join(disclosed, ["a", "b"])
         .groupBy("doc_id", "_t", "term").agg(F.max("remove").alias("remove"))
         .withColumnsRenamed({"doc_id": "_doc", "_t": "_text", "term": "_term"})
     )
@@ -242,9 +268,7 @@ def sanitised(text: Column, spans: Column) -> Column:
     )
 
 
-def private_spans(
-    docs: DataFrame, min_support: int = 3, remove_at: float = 0.9, generalise_at: float = 0.75
-) -> DataFrame:
+def private_spans(docs: DataFrame, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT) -> DataFrame:
     """``(doc_id, _t, email, ip, card, phone, terms)`` for every row of keyed ``docs``."""
     spotted = with_base_spans(docs)
     # The patterns are searched once; the texts are kept where something was found.
@@ -252,15 +276,13 @@ def private_spans(
         spotted.select("doc_id", "_t", *KINDS, F.when(F.size(F.concat(*KINDS)) > 0, F.col("text")).alias("text"))
     )
     found = known.filter(F.col("text").isNotNull())
-    disclosed = disclosing_terms(docs, found, min_support, remove_at, generalise_at)
-    return attach(known.drop("text"), term_spans(found, disclosed)).select(
+    entities, disclosed = disclosing_terms(docs, found, remove_at, generalise_at)
+    return attach(known.drop("text"), term_spans(found, entities, disclosed)).select(
         "doc_id", "_t", *KINDS, F.coalesce("terms", F.array().cast(_SPAN)).alias("terms")
     )
 
 
-def sanitise(
-    docs: DataFrame, min_support: int = 3, remove_at: float = 0.9, generalise_at: float = 0.75
-) -> DataFrame:
+def sanitise(docs: DataFrame, remove_at: float = REMOVE_AT, generalise_at: float = GENERALISE_AT) -> DataFrame:
     """``(doc_id, email, ip, card, phone, terms, clean_text)`` for every row of ``docs``.
 
     The span columns hold (kind, start, end, text) in order of place.
@@ -270,15 +292,15 @@ def sanitise(
     columns are ignored.  An empty table gives no rows.
     """
     keyed = with_document_key(docs)
-    spans = private_spans(keyed, min_support, remove_at, generalise_at).dropDuplicates(["doc_id", "_t"])
+    spans = private_spans(keyed, remove_at, generalise_at).dropDuplicates(["doc_id", "_t"])
     return attach(keyed, spans).select(
         "doc_id", *KINDS, "terms", sanitised(F.col("text"), F.concat(*KINDS, "terms")).alias("clean_text")
     )
 
 
 def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Personal data of all documents: counts, and every span as kind:start:end."""
-    spans = private_spans(with_document_key(table(spark, sf_dir, "documents")))
+    """Personal data of all documents: counts, every span as kind:start:end, the sanitised text's hash."""
+    found = sanitise(table(spark, sf_dir, "documents"))
 
     def written(all_spans: Column) -> Column:
         return F.array_join(
@@ -291,11 +313,12 @@ def pii_query(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.filter("terms", lambda s: s["kind"] == "removed"),
     )
     base = F.concat(*KINDS)
-    return spans.select(
+    return found.select(
         "doc_id", *[F.size(k).cast("bigint").alias(f"n_{k}") for k in KINDS],
-        F.size("terms").cast("bigint").alias("n_terms"),
         F.sha2(written(base), 256).alias("base_sha256"),
         written(F.concat(base, terms)).alias("spans"),
+        F.size("terms").cast("bigint").alias("n_terms"),
+        F.sha2("clean_text", 256).alias("clean_sha256"),
     )
 
 
@@ -359,10 +382,14 @@ WITH docs AS (
 ), entities AS (SELECT entity, sum(copies) AS n_e FROM held GROUP BY entity
 ), pairs AS (
     SELECT entity, term, sum(copies) AS n_et FROM (SELECT line, copies, entity, unnest(terms) AS term FROM held)
-    GROUP BY entity, term HAVING count(*) >= 3
+    GROUP BY entity, term
+), sure AS (
+    SELECT entity, term, n_et / n_t::DOUBLE AS s, n_t::DOUBLE AS m FROM pairs JOIN term_counts USING (term)
 ), disclosed AS (
-    SELECT p.entity, p.term, round(ln(n_et * n::DOUBLE / (n_e::DOUBLE * n_t)) / ln(n::DOUBLE / n_e), 9) AS d
-    FROM pairs p JOIN entities USING (entity) JOIN term_counts USING (term), total
+    SELECT entity, term, round(ln((s + 1.645::DOUBLE * 1.645 / (2 * m)
+            - 1.645::DOUBLE * sqrt(s * (1 - s) / m + 1.645::DOUBLE * 1.645 / (4 * m * m)))
+            / (1 + 1.645::DOUBLE * 1.645 / m) * (n::DOUBLE / n_e)) / ln(n::DOUBLE / n_e), 9) AS d
+    FROM sure JOIN entities USING (entity), total WHERE n > n_e
 ), owed AS (
     SELECT b.doc_id, d.term, max(d.d) >= 0.9 AS remove
     FROM (SELECT DISTINCT doc_id, entity FROM base) b JOIN disclosed d ON d.entity = b.entity AND d.d >= 0.75
@@ -391,9 +418,21 @@ WITH docs AS (
         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY rank, start) FILTER (rank <= 4) AS base,
         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY rank, start) AS spans
     FROM every GROUP BY doc_id
+), in_turn AS (
+    SELECT e.*, d.text, coalesce(max(stop) OVER (
+        PARTITION BY doc_id ORDER BY start, kind, stop ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS upto
+    FROM every e JOIN docs d USING (doc_id)
+), cleaned AS (
+    SELECT doc_id, string_agg(substr(text, upto + 1, start - upto) || CASE
+            WHEN kind = 'removed' THEN ''
+            WHEN kind = 'generalised' THEN CASE WHEN regexp_matches(substr(text, start + 1, stop - start), '[0-9]')
+                THEN '[NUMBER]' ELSE '[WORD]' END
+            ELSE '[' || upper(kind) || ']' END, '' ORDER BY start, kind, stop) FILTER (start >= upto)
+        || substr(any_value(text), max(stop) + 1) AS clean
+    FROM in_turn GROUP BY doc_id
 )
 SELECT d.doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
-    coalesce(n_phone, 0) AS n_phone, coalesce(n_terms, 0) AS n_terms,
-    sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
-FROM docs d LEFT JOIN told t ON t.doc_id = d.doc_id
+    coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+    coalesce(n_terms, 0) AS n_terms, sha256(coalesce(c.clean, d.text)) AS clean_sha256
+FROM docs d LEFT JOIN told t ON t.doc_id = d.doc_id LEFT JOIN cleaned c ON c.doc_id = d.doc_id
 """

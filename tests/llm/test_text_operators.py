@@ -106,12 +106,33 @@ def test_personal_data(documents):
 
 
 def test_terms_that_give_an_entity_away(documents):
-    rows = [(i, f"the zorblat {i} of me@home.org and more\nthe zorblat stays") for i in range(4)]
-    rows += [(100 + i, f"the more and other of line {i}") for i in range(60)]
+    rows = [(i, "the zorblat of me@home.org and more\nthe zorblat stays") for i in range(4)]
+    rows += [(100 + i, f"the more and other of line {i}") for i in range(4_000)]
     found = {r.doc_id: r for r in sanitise(documents(rows), remove_at=0.95, generalise_at=0.75).collect()}
     assert {s.text for s in found[1].terms} == {"zorblat"} and len(found[1].terms) == 2
     assert "zorblat" not in found[1].clean_text and "[EMAIL]" in found[1].clean_text
     assert found[105].terms == [] and found[105].clean_text == rows[9][1]
+    assert len(rows) == len(found)
+
+
+def test_one_line_is_enough_and_weighs_little(documents):
+    """A term seen once, with an entity seen once, is generalised; a common one stays."""
+    rows = [(0, "Zorblat of me@home.org said so")]
+    rows += [(1 + i, f"so they said of line{i}\nall of it and so on") for i in range(2_000)]
+    found = {r.doc_id: r for r in sanitise(documents(rows)).collect()}
+    assert [(s.kind, s.text) for s in found[0].terms] == [("generalised", "Zorblat")]
+    assert found[0].clean_text == "[WORD] of [EMAIL] said so"
+    assert all(found[i].terms == [] for i in range(1, 2_001))
+
+
+def test_a_line_of_thousands_of_entities_and_terms(documents):
+    mails = " ".join(f"u{i}@home{i}.org" for i in range(1_500))
+    letters = "abcdefghij"
+    words = " ".join("rare" + "".join(letters[int(d)] for d in str(i)) for i in range(1_500))
+    rows = [(0, f"{mails} {words} the")] + [(1 + i, f"the line{i}\nthe") for i in range(3_000)]
+    found = {r.doc_id: r for r in sanitise(documents(rows)).collect()}
+    assert len(found[0].email) == 1_500 and len(found[0].terms) == 1_500
+    assert found[0].clean_text.endswith("[WORD] the") and "rare" not in found[0].clean_text
 
 
 def test_hash_of_kept_bytes(documents):
