@@ -1,21 +1,26 @@
 """Near-duplicate vectors by lattice hashing.
 
-A table projects unit vectors at random to two blocks of eight coordinates and decodes
-each to the nearest point of the E8 lattice; the two points together name a cell.  Near
+A table projects unit vectors at random to a few blocks of eight coordinates and decodes
+each to the nearest point of the E8 lattice; the points together name a cell.  Near
 vectors fall into one cell or into neighbouring ones, so each vector is filed under its
-own cell and also asks in the cells it nearly fell into: the closest neighbours of either
-point, the other one kept.  Several tables make a miss unlikely (about 0.6 % at a cosine
-of 0.9 with the settings below, measured far less on the test data).
-
-Vectors that meet in a cell are compared by sign sketches, the survivors are linked to
-groups, and tiles of bounded size verify all pairs of a group by cosine in double
-precision.  Only counts and spanning forests leave a tile.  Cells that thousands of
-vectors share are linked as a whole, which only adds pairs to verify.
+own cell and also asks in the cells it nearly fell into: the closest neighbours of one
+point, the others kept.  Several tables make a miss unlikely (about 0.6 % at a cosine of
+0.9 with the settings below, measured far less on the test data).
+
+The more vectors there are, the more blocks name a cell (see :func:`lattice_size`), so that
+a cell holds about as many vectors that are not near at any size; more tables make up for
+the near ones that more blocks part.
+
+Vectors that meet in a cell are compared by sign sketches; a cell with thousands of them
+is compared in tiles.  The survivors are linked to groups, and tiles of bounded size
+verify all pairs of a group by cosine in double precision.  Only counts and spanning
+forests leave a tile.
 """
 
 from __future__ import annotations
 
 import itertools
+import math
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -29,10 +34,25 @@ from ledgerlark.llm.ngram_join import forest
 from ledgerlark.llm.shared import stage, table
 from ledgerlark.llm.words import mix
 
-TABLES, BLOCKS, PROBES, SCALE = 8, 2, 4, 3.0
+PROBES, SCALE = 4, 3.0
 # Vectors at a cosine of 0.9 differ in 73.5 of 512 signs on average, deviation 7.9.
 SKETCH_BITS, MOST_DIFFERENT = 512, 113
-LARGE_CELL = 2_000
+# Rows of a cell that are compared with as many others at a time.
+CHUNK = 2_000
+
+
+def lattice_size(rows: int) -> tuple[int, int]:
+    """``(tables, blocks)`` for a number of vectors.
+
+    A block more names about twenty times as many cells that unlike vectors spread over,
+    and two near vectors agree in it about seven times in ten.  The tables are as many as
+    leave a near pair apart in all of them about as often as eight tables of two blocks.
+    """
+    blocks = 2
+    while rows > 25_000 * 20 ** (blocks - 2):
+        blocks += 1
+    together = 0.47 ** (blocks / 2)
+    return math.ceil(math.log(0.53**8) / math.log(1 - together) - 1e-9), blocks
 
 
 def _nearest_d8(x: np.ndarray) -> np.ndarray:
@@ -69,15 +89,21 @@ def shortest_vectors() -> np.ndarray:
 
 
 @lru_cache(8)
-def _projection(dimension: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Projections of all tables, their shifts, and the directions of the sketch."""
+def _projection(dimension: int, n_tables: int, blocks: int) -> tuple[np.ndarray, np.ndarray]:
+    """Projections of all tables, and their shifts."""
     random = np.random.default_rng(dimension)
-    width = 8 * BLOCKS
+    width = 8 * blocks
     tables = []
-    for _ in range(TABLES):
+    for _ in range(n_tables):
         square = np.linalg.qr(random.normal(size=(max(dimension, width), width)))[0][:dimension]
         tables.append(square * SCALE * np.sqrt(dimension / 64))
-    return np.stack(tables), random.random((TABLES, width)), random.normal(size=(dimension, SKETCH_BITS))
+    return np.stack(tables), random.random((n_tables, width))
+
+
+@lru_cache(8)
+def _directions(dimension: int) -> np.ndarray:
+    """The directions of the sketch."""
+    return np.random.default_rng(1_000_003 + dimension).normal(size=(dimension, SKETCH_BITS))
 
 
 def _cell_hash(table_no: int, dimension: int, points: list[np.ndarray]) -> np.ndarray:
@@ -89,17 +115,18 @@ def _cell_hash(table_no: int, dimension: int, points: list[np.ndarray]) -> np.nd
     return h.astype(np.int64)
 
 
-def cells(unit: np.ndarray) -> Iterator[tuple[np.ndarray, bool]]:
+def cells(unit: np.ndarray, n_tables: int, blocks: int) -> Iterator[tuple[np.ndarray, bool]]:
     """Cell hashes of unit vectors, table by table: their own, then those they ask in."""
-    project, shift, _ = _projection(unit.shape[1])
+    project, shift = _projection(unit.shape[1], n_tables, blocks)
     near = shortest_vectors()
-    for t in range(TABLES):
+    for t in range(n_tables):
         x = unit @ project[t] + shift[t]
-        blocks = [x[:, 8 * b : 8 * b + 8] for b in range(BLOCKS)]
-        own = [nearest_e8(b) for b in blocks]
+        parts = [x[:, 8 * b : 8 * b + 8] for b in range(blocks)]
+        own = [nearest_e8(b) for b in parts]
         yield _cell_hash(t, unit.shape[1], own), True
-        for b in range(BLOCKS):
-            order = np.argsort(-((blocks[b] - own[b]) @ near.T), axis=1, kind="stable")[:, :PROBES]
+        for b in range(blocks):
+            toward = (parts[b] - own[b]) @ near.T
+            order = np.argpartition(-toward, PROBES, axis=1)[:, :PROBES]
             for p in range(PROBES):
                 moved = list(own)
                 moved[b] = own[b] + near[order[:, p]]
@@ -117,42 +144,50 @@ def _unit_vectors(column: pa.ChunkedArray | pa.Array) -> Iterator[tuple[np.ndarr
         yield rows, x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
-def _filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        node = batch.column("node").to_numpy()
-        for rows, unit in _unit_vectors(batch.column("vector")):
-            for h, own in cells(unit):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(h), pa.array(node[rows]), pa.array(np.full(len(rows), int(own), np.int32))],
-                    ["h", "node", "own"],
-                )
+def _filed(n_tables: int, blocks: int):
+    def filed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node = batch.column("node").to_numpy()
+            for rows, unit in _unit_vectors(batch.column("vector")):
+                for h, own in cells(unit, n_tables, blocks):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(h), pa.array(node[rows]), pa.array(np.full(len(rows), int(own), np.int32))],
+                        ["h", "node", "own"],
+                    )
+
+    return filed
 
 
 def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         node = batch.column("node").to_numpy()
         for rows, unit in _unit_vectors(batch.column("vector")):
-            bits = np.packbits(unit @ _projection(unit.shape[1])[2] > 0, axis=1)
+            bits = np.packbits(unit @ _directions(unit.shape[1]) > 0, axis=1)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(node[rows]), pa.array([b.tobytes() for b in bits], pa.binary())], ["node", "sketch"]
             )
 
 
 def _links_in_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for group, _, _ in sorted_groups(batches, ["h"]):
-        own = np.flatnonzero(group.column("own").to_numpy())
-        if not len(own) or group.num_rows < 2:
+    """Links between two chunks of a cell, or within one: own vectors with all others."""
+    for group, _, _ in sorted_groups(batches, ["h", "i", "j"]):
+        own = group.column("own").to_numpy() > 0
+        if not own.any() or group.num_rows < 2:
             continue
-        node = group.column("node").to_numpy()
+        node, chunk = group.column("node").to_numpy(), group.column("chunk").to_numpy()
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
         sketch = np.frombuffer(b"".join(group.column("sketch").to_pylist()), "<u8").reshape(len(node), -1)
+        sides = [(i, j)] if i == j else [(i, j), (j, i)]
         xs, ys = [], []
-        for a in range(0, len(own), 256):
-            part = own[a : a + 256]
-            different = np.bitwise_count(sketch[part, None, :] ^ sketch[None, :, :]).sum(axis=2)
-            x, y = np.nonzero(different <= MOST_DIFFERENT)
-            p, q = forest(part[x], y, len(node))
-            xs.append(p)
-            ys.append(q)
+        for one, other in sides:
+            asked, met = np.flatnonzero((chunk == one) & own), np.flatnonzero(chunk == other)
+            for a in range(0, len(asked), 256):
+                part = asked[a : a + 256]
+                different = np.bitwise_count(sketch[part, None, :] ^ sketch[None, met, :]).sum(axis=2)
+                x, y = np.nonzero(different <= MOST_DIFFERENT)
+                p, q = forest(part[x], met[y], len(node))
+                xs.append(p)
+                ys.append(q)
         p, q = forest(np.concatenate(xs), np.concatenate(ys), len(node))
         differ = node[p] != node[q]
         if differ.any():
@@ -219,22 +254,25 @@ def near_vectors(vectors: DataFrame, threshold: float = 0.9) -> DataFrame:
             F.count(F.lit(1)).alias("copies"), F.min("vec_id").alias("low"), F.first("vector").alias("vector")
         )
     )
-    filed = classes.select("node", "vector").mapInArrow(_filed, "h long, node long, own int")
+    filed = stage(classes.select("node", "vector").mapInArrow(
+        _filed(*lattice_size(classes.count())), "h long, node long, own int"
+    ))
     shared = stage(
-        filed.groupBy("h").agg(
-            F.count(F.lit(1)).alias("size"), F.sum("own").alias("owners"), F.min("node").alias("least")
-        ).filter("size > 1 AND owners > 0").drop("owners")
+        filed.groupBy("h").agg(F.count(F.lit(1)).alias("size"), F.sum("own").alias("owners"))
+        .filter("size > 1 AND owners > 0").drop("owners")
     )
-    met = stage(filed.join(shared, "h"))
     sketches = classes.select("node", "vector").mapInArrow(_sketched, "node long, sketch binary")
-    pruned = (
-        met.filter(F.col("size") <= LARGE_CELL).select("h", "node", "own").join(sketches, "node")
-        .repartition("h").sortWithinPartitions("h", "node").mapInArrow(_links_in_cells, "a long, b long")
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    met = (
+        stage(filed.join(shared, "h")).withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "node"), chunks).cast("int"))
+        .select("h", "node", "own", "chunk", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_j"))
+        .select("h", "node", "own", "chunk", F.least("chunk", "_j").alias("i"), F.greatest("chunk", "_j").alias("j"))
     )
-    whole = met.filter((F.col("size") > LARGE_CELL) & (F.col("node") != F.col("least"))).select(
-        F.col("node").alias("a"), F.col("least").alias("b")
+    pruned = (
+        met.join(sketches, "node").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "node")
+        .mapInArrow(_links_in_cells, "a long, b long")
     )
-    members = components(pruned.unionByName(whole)).join(
+    members = components(pruned).join(
         classes.select("node", "copies", "vector", F.size("vector").alias("n")), "node"
     )
     found = stage(
