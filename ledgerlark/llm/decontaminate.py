@@ -106,42 +106,77 @@ def _share(part: tuple[bool, np.ndarray], passage: tuple[np.ndarray, np.ndarray]
 
 def matches(texts: list[str], shard: Shard, threshold: float, overlap: float) -> list[tuple[int, int, float, float, float]]:
     """``(text, item number, score, question overlap, answer overlap)``, best passage each."""
-    return _matches(hashed_words(texts), len(texts), shard, threshold, overlap)
+    ((_, found),) = portion_of([shard]).matches(texts, threshold, overlap)
+    return found
+
+
+@dataclass
+class Portion:
+    """The indexes of all length classes, and all their terms with the number each has in them."""
+
+    shards: list[Shard]
+    terms: np.ndarray
+    local: list[np.ndarray]  # for each shard: the number of each term in it, or -1
+
+    def matches(self, texts: list[str], threshold: float, overlap: float) -> Iterator[tuple[Shard, list]]:
+        """What each shard finds; the words are hashed and looked up once for all of them."""
+        words, number = hashed_words(texts)
+        heads = np.searchsorted(number, np.arange(len(texts) + 1))
+        spots, at = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if len(words) and len(self.terms):
+            at = np.minimum(np.searchsorted(self.terms, words), len(self.terms) - 1)
+            spots = np.flatnonzero(self.terms[at] == words)
+            at = at[spots]
+        for shard, local in zip(self.shards, self.local, strict=True):
+            term = local[at]
+            held = term >= 0
+            yield shard, _matches(words, number, heads, spots[held], term[held], shard, threshold, overlap)
+
+
+def portion_of(shards: list[Shard]) -> Portion:
+    terms = np.unique(np.concatenate([np.zeros(0, np.uint64), *(s.terms for s in shards)]))
+    local = []
+    for s in shards:
+        numbers = np.full(len(terms), -1)
+        numbers[np.searchsorted(terms, s.terms)] = np.arange(len(s.terms))
+        local.append(numbers)
+    return Portion(shards, terms, local)
+
+
+def _numbered(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different values of a sorted array, and the place of each element's value among them."""
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return values[new], np.cumsum(new) - 1
 
 
 def _matches(
-    hashed: tuple[np.ndarray, np.ndarray], n_texts: int, shard: Shard, threshold: float, overlap: float
+    words: np.ndarray, number: np.ndarray, heads: np.ndarray, spots: np.ndarray, at: np.ndarray,
+    shard: Shard, threshold: float, overlap: float,
 ) -> list[tuple[int, int, float, float, float]]:
-    words, number = hashed
-    size = len(shard.terms)
-    if not len(words) or not size:
+    """Matches of one shard, whose terms ``at`` stand at the places ``spots`` of ``words``."""
+    if not len(spots):
         return []
-    at = np.minimum(np.searchsorted(shard.terms, words), size - 1)
-    known = shard.terms[at] == words
-    heads = np.searchsorted(number, np.arange(n_texts + 1))
-    lengths = np.diff(heads)
-    base = (np.arange(len(words)) - heads[number]) // shard.half
-    passages = np.maximum(-(-lengths // shard.half) - 1, 1)
+    size = len(shard.terms)
+    text = number[spots]
+    base = (spots - heads[text]) // shard.half
+    passages = np.maximum(-(-np.diff(heads) // shard.half) - 1, 1)
     offset = np.concatenate([[0], np.cumsum(passages)])
     # Each word lies in the passage that begins in its part and in the one before.
-    here = known & (base < passages[number])
-    before = known & (base > 0)
-    key = np.unique(np.concatenate([
-        (offset[number[here]] + base[here]) * size + at[here],
-        (offset[number[before]] + base[before] - 1) * size + at[before],
-    ]))
+    here, before = base < passages[text], base > 0
+    own = (offset[text] + base) * size + at
+    key = np.sort(np.concatenate([own[here], own[before] - size]))
+    key, _ = _numbered(key)
     passage, term = key // size, key % size
-    if not len(key):
-        return []
 
     slack = threshold - 1e-6
-    names, row = np.unique(passage, return_inverse=True)
+    names, row = _numbered(passage)
     alive = (np.bincount(row, shard.list_max[term]) >= slack)[row]
     passage, term = passage[alive], term[alive]
     if not len(term):
         return []
     # Blocks whose maxima add up to the threshold.
-    names, row = np.unique(passage, return_inverse=True)
+    names, row = _numbered(passage)
     blocks = -(-len(shard.ids) // BLOCK_ITEMS)
     entry, at_term = _spread(shard.block_first, term)
     cell, back = np.unique(row[at_term] * blocks + shard.block[entry], return_inverse=True)
@@ -200,7 +235,7 @@ def impacts(items: DataFrame) -> DataFrame:
     return scored.join(own, "item").select("item", "term", "words", (F.col("w") / F.col("own")).alias("impact"))
 
 
-def _index(weights: DataFrame, named: DataFrame) -> list[Shard]:
+def _index(weights: DataFrame, named: DataFrame) -> Portion:
     """The items of ``weights`` in one index per length class."""
     rows = weights.toPandas()
     rows["half"] = rows["words"].map(length_class)
@@ -212,7 +247,7 @@ def _index(weights: DataFrame, named: DataFrame) -> list[Shard]:
             part["term"].to_numpy(np.int64).astype(np.uint64), number, part["impact"].to_numpy(np.float64),
             ids.tolist(), [texts[i] for i in ids.tolist()], int(half),
         ))
-    return shards
+    return portion_of(shards)
 
 
 def contaminated(
@@ -252,9 +287,7 @@ def contaminated(
         def search(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for first, texts in text_batches(batch.column("text").to_pylist()):
-                    hashed = hashed_words(texts)
-                    for shard in sent.value:
-                        found = _matches(hashed, len(texts), shard, threshold, overlap)
+                    for shard, found in sent.value.matches(texts, threshold, overlap):
                         if found:
                             t, i, *numbers = zip(*found, strict=True)
                             yield pa.RecordBatch.from_arrays(
