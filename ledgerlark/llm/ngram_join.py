@@ -6,13 +6,11 @@
    threshold shares none of 32 bands with a chance of 5e-8.
 3. Inside a band MinHash values are compared in steps.  After n values of which m agree
    the chance that the pair reaches the threshold is the tail of a Beta(m+1, n-m+1); a
-   pair below the tolerance is dropped.  What is left links classes to groups.
+   pair below the tolerance is dropped.  What is left links classes to groups.  A band
+   with thousands of classes is compared in tiles.
 4. Groups are cut into tiles of bounded size.  A tile compares the rest of the values in
    the same way, verifies the survivors on the whole sets, and returns counts and a
    spanning forest, never all pairs.
-
-Bands that thousands of classes share skip step 3 and are linked as a whole, which only
-adds pairs for step 4 to drop.
 """
 
 from __future__ import annotations
@@ -31,7 +29,8 @@ from ledgerlark.llm.shared import attach, stage, table, with_document_key
 from ledgerlark.llm.words import hashed_words, mix, text_batches, word_runs
 
 VALUES, BAND, STEP, SHORT = 128, 4, 16, 32
-LARGE_BAND = 2_000
+# Rows of a band that are compared with as many others at a time.
+CHUNK = 2_000
 _ODD = mix(np.arange(1, VALUES + 1, dtype=np.uint64)) | np.uint64(1)
 _XOR = mix(np.arange(1001, VALUES + 1001, dtype=np.uint64))
 
@@ -152,11 +151,14 @@ def forest(x: np.ndarray, y: np.ndarray, size: int) -> tuple[np.ndarray, np.ndar
 def _links_in_bands(least: tuple[int, ...]):
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[tuple[int, int]] = set()
-        for group, _, _ in sorted_groups(batches, ["h"]):
+        for group, _, _ in sorted_groups(batches, ["h", "i", "j"]):
             if group.num_rows > 1:
                 sig = np.frombuffer(b"".join(group.column("sig").to_pylist()), "<u2").reshape(group.num_rows, -1)
-                node = group.column("node").to_numpy()
-                seen.update(_alike_in(sig, node, least))
+                node, chunk = group.column("node").to_numpy(), group.column("chunk").to_numpy()
+                i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+                first = np.flatnonzero(chunk == i)
+                second = first if i == j else np.flatnonzero(chunk == j)
+                seen.update(_alike_in(sig, node, first, second, least))
             if len(seen) > 20_000:
                 yield _edge_batch(seen)
                 seen = set()
@@ -166,15 +168,17 @@ def _links_in_bands(least: tuple[int, ...]):
     return links
 
 
-def _alike_in(sig: np.ndarray, node: np.ndarray, least: tuple[int, ...]) -> set[tuple[int, int]]:
-    """Spanning edges of the pairs that survive in one band; blocks keep at most a forest each."""
+def _alike_in(
+    sig: np.ndarray, node: np.ndarray, first: np.ndarray, second: np.ndarray, least: tuple[int, ...]
+) -> set[tuple[int, int]]:
+    """Spanning edges of the pairs between two chunks that survive; blocks keep at most a forest each."""
     size, edges = 256, [np.zeros((2, 0), np.int64)]
-    for a in range(0, len(node), size):
-        for b in range(a, len(node), size):
-            x, y = agreeing(sig[a : a + size], sig[b : b + size], least)
-            p, q = forest(x, y + size if a != b else y, 2 * size)
-            shift = np.where(np.stack([p, q]) < size, a, b - size if a != b else a)
-            edges.append(np.stack([p, q]) + shift)
+    for a in range(0, len(first), size):
+        for b in range(a if first is second else 0, len(second), size):
+            rows = [first[a : a + size], second[b : b + size]]
+            x, y = agreeing(sig[rows[0]], sig[rows[1]], least)
+            p, q = forest(x, y + len(rows[0]), len(rows[0]) + len(rows[1]))
+            edges.append(np.concatenate(rows)[np.stack([p, q])])
     x, y = np.concatenate(edges, axis=1)
     p, q = forest(x, y, len(node))
     return set(zip(node[p].tolist(), node[q].tolist(), strict=True))
@@ -292,21 +296,21 @@ def similar_documents(
             F.first("n").alias("n"), F.first("sig").alias("sig"),
         )
     )
-    bands = classes.select("node", "sig").mapInArrow(_bands, "h long, node long")
+    bands = stage(classes.select("node", "sig").mapInArrow(_bands, "h long, node long"))
     shared = stage(
-        bands.groupBy("h").agg(F.min("node").alias("low"), F.count(F.lit(1)).alias("size")).filter("size > 1")
+        bands.groupBy("h").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
+    )
+    chunks = F.ceil(F.col("size") / CHUNK).cast("int")
+    met = (
+        stage(bands.join(shared, "h")).withColumn("chunk", F.pmod(F.xxhash64(F.lit("chunk"), "node"), chunks).cast("int"))
+        .select("h", "node", "chunk", F.explode(F.sequence(F.lit(0), chunks - 1)).alias("_j"))
+        .select("h", "node", "chunk", F.least("chunk", "_j").alias("i"), F.greatest("chunk", "_j").alias("j"))
     )
-    met = stage(bands.join(shared, "h"))
     beginning = classes.select("node", F.substring("sig", 1, 2 * SHORT).alias("sig"))
-    pruned = (
-        met.filter(F.col("size") <= LARGE_BAND).select("h", "node").join(beginning, "node")
-        .repartition("h").sortWithinPartitions("h", "node")
+    groups = components(
+        met.join(beginning, "node").repartition("h", "i", "j").sortWithinPartitions("h", "i", "j", "node")
         .mapInArrow(_links_in_bands(least[: SHORT // STEP]), "a long, b long")
     )
-    whole = met.filter((F.col("size") > LARGE_BAND) & (F.col("node") != F.col("low"))).select(
-        F.col("node").alias("a"), F.col("low").alias("b")
-    )
-    groups = components(pruned.unionByName(whole))
 
     members = stage(groups.join(classes, "node"))
     texts = attach(
