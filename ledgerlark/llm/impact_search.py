@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from ledgerlark.llm.arrow_groups import sorted_groups
 from ledgerlark.llm.shared import stage, table
 
-LEVELS = 32  # quantised values per sign
+LEVELS = 128  # quantised values per sign
 ROUNDS = 16  # how often the bounds are looked at
 _EXACT = 2.0**50
 
@@ -145,7 +145,7 @@ def best_products(
     scale: float = 1024.0,
     block_rows: int = 20_000,
     chunk_rows: int = 20_000,
-    few: int = 256,
+    few: int = 1_000,
 ) -> DataFrame:
     """``(query_id, rank, vec_id, score)``: the ``k`` largest inner products of each query.
 
