@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -129,7 +130,7 @@ def sf_dir(spark, tmp_path_factory):
         body = [prose(draw.randrange(30, 60)) for _ in range(2)]
         if i % 7 == 0:
             body = ["".join(draw.choice("#$%&!0123 ") for _ in range(200)), "BUY NOW!!! 77"]
-        if 20 <= i < 30:
+        if 20 <= i < 34:
             body.insert(1, " Subscribe to our LETTER ")
         if 40 <= i < 49:
             body.insert(0, "In nine documents only")
@@ -231,15 +232,19 @@ def test_toxicity_scores_equal_plain_compression_lengths(spark):
 
 
 def test_the_fitting_sample_is_bounded_in_rows(spark):
-    rows = [(1, f"text {i}") for i in range(5_000)] + [(i, f"own {i}") for i in range(2, 300)] * 3
+    one, *free = [i for i in range(1, 400) if zlib.crc32(str(i).encode()) % 5]
+    torn, told_twice = [i for i in free if i % 2 == 0][:2]
+    rows = [(one, f"text {i}") for i in range(5_000)] + [(i, f"own {i}") for i in range(one + 1, 300)] * 3
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = [(1, 1)] + [(i, i % 2) for i in range(2, 300)] + [(4, 1), (6, 0), (7, None), (None, 1), (8, 2)]
+    labels = [(one, 1)] + [(i, i % 2) for i in range(one + 1, 300)]
+    labels += [(torn, 1), (told_twice, 0), (free[5], None), (None, 1), (free[6], 2)]
     frame = spark.createDataFrame(labels, "doc_id long, quality int")
     small = fitting_sample(docs, frame, "quality", 10).collect()
     assert Counter(r.label for r in small) == {0: 10, 1: 10}
     assert sorted(map(tuple, small)) == sorted(map(tuple, fitting_sample(docs, frame, "quality", 10).collect()))
     every = fitting_sample(docs, frame, "quality", 100_000).collect()
     held = {r.doc_id for r in every}
-    assert len(every) == len({(r.doc_id, r.text) for r in every}) and 4 not in held and 6 in held
-    assert all(r.label == (1 if r.doc_id == 1 else r.doc_id % 2) for r in every)
+    assert len(every) == len({(r.doc_id, r.text) for r in every}) and torn not in held and told_twice in held
+    assert held == {one, *free} - {torn} - set(range(300, 400))
+    assert all(r.label == (1 if r.doc_id == one else r.doc_id % 2) for r in every)
     assert fitting_sample(docs, frame.limit(0), "quality", 10).count() == 0
