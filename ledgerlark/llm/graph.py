@@ -10,31 +10,40 @@ from ledgerlark.llm.shared import stage
 def components(edges: DataFrame) -> DataFrame:
     """``(node, component)`` for every node of ``edges`` (a, b); the component is its smallest node.
 
-    Each round every node takes the smallest label of its neighbours and of its label's
-    own node, so chains halve.  Labels only fall; when their sum stays, they are final.
-    Each round is written to the shared folder, which also cuts the lineage.
+    Each round every node joins the first of its neighbours and itself, in an order that
+    differs from round to round, and the edges are drawn anew between what has joined.
+    So hubs and long chains shrink alike, and after the first round few edges are left of a
+    group whose nodes share many neighbours.  Each round is written to the shared folder,
+    which also cuts the lineage.
     """
-    both = stage(
-        edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        .filter("a <> b").distinct()
-    )
-    labels = stage(both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label")).withColumnRenamed("a", "node"))
-    total = None
+    edges = stage(_between(edges, "a", "b"))
+    labels, turn = None, 0
     while True:
-        now = labels.agg(F.sum(F.col("label").cast("decimal(38,0)"))).first()[0]
-        if now is None or now == total:
-            return labels.withColumnRenamed("label", "component")
-        total = now
-        near = (
-            both.join(labels, F.col("b") == F.col("node"))
-            .groupBy("a").agg(F.min("label").alias("near"))
-        )
-        above = labels.select(F.col("node").alias("up"), F.col("label").alias("above"))
-        labels = stage(
-            labels.join(above, F.col("label") == F.col("up"), "left")
-            .join(near, F.col("node") == F.col("a"), "left")
-            .select("node", F.least("label", "above", "near").alias("label"))
-        )
+        # A number whose bits flip the order; flipped again it gives the node back.
+        flip = F.lit((0x9E3779B97F4A7C15 * turn) % 2**63)
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        first = F.least(F.col("a").bitwiseXOR(flip), F.min(F.col("b").bitwiseXOR(flip))).bitwiseXOR(flip)
+        joined = stage(both.groupBy("a").agg(first.alias("to")).withColumnRenamed("a", "from"))
+        if labels is None:
+            labels = joined.select(F.col("from").alias("node"), F.col("to").alias("label"))
+        else:
+            labels = stage(
+                labels.join(joined, F.col("label") == F.col("from"), "left")
+                .select("node", F.coalesce("to", "label").alias("label"))
+            )
+        one = joined.select(F.col("from").alias("a"), F.col("to").alias("to_a"))
+        two = joined.select(F.col("from").alias("b"), F.col("to").alias("to_b"))
+        edges = stage(_between(edges.join(one, "a").join(two, "b"), "to_a", "to_b"))
+        turn += 1
+        if edges.isEmpty():
+            break
+    low = labels.groupBy("label").agg(F.min("node").alias("component"))
+    return labels.join(low, "label").select("node", "component")
+
+
+def _between(rows: DataFrame, a: str, b: str) -> DataFrame:
+    """Different edges (a, b), the smaller end first, without loops."""
+    return rows.filter(F.col(a) != F.col(b)).select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).distinct()
 
 
 def tiles(members: DataFrame, weight: str, most_rows: int, most_weight: int) -> DataFrame:
