@@ -69,8 +69,8 @@ ITEMS = [
 ]
 
 
-@pytest.mark.parametrize("shard_items", [2_048, 1])
-def test_items_in_documents(spark, documents, shard_items):
+@pytest.mark.parametrize("most_postings", [2_000_000, 7])
+def test_items_in_documents(spark, documents, most_postings):
     draw = random.Random(1)
     noise = lambda n: " ".join(draw.choice(["the", "of", "is", "river", "old", "in", "it"]) for _ in range(n))
     rows = [
@@ -78,8 +78,8 @@ def test_items_in_documents(spark, documents, shard_items):
         (4, noise(5) + ITEMS[0][1].split("?")[0]), (5, None), (6, ""), (None, "x " + ITEMS[4][1] + " " + ITEMS[1][1]),
     ]
     items = spark.createDataFrame(ITEMS, "item_id long, text string").selectExpr("*", "1 AS doc_id", "2 AS term")
-    found = decontaminate.contaminated(documents(rows), items, shard_items=shard_items).collect()
-    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (3, 2), (None, 2)}
+    found = decontaminate.contaminated(documents(rows), items, most_postings=most_postings).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == {(1, 1), (3, 2), (None, 2), (None, None)}
     assert all(0.99 < r.score <= 1 for r in found)
 
 
