@@ -11,7 +11,7 @@ places, so only suffixes that begin at anchors are sorted, about 2 of every
    a task fold to one with a count.
 3. Every task sorts its contexts and sends them as front-coded runs: each string as the
    length of the prefix it shares with the one before, and the rest.  Runs are dealt by
-   ranges of the sort key.
+   ranges of the sort key, which begins with the gram's hash, mixed anew.
 4. A range's runs are combined by a loser tree that carries the common prefix of each
    candidate with the last winner, so that known prefixes are never compared again.  The
    merge yields the prefix lengths of neighbours; contexts whose suffixes share enough
@@ -19,8 +19,9 @@ places, so only suffixes that begin at anchors are sorted, about 2 of every
 5. For each place the anchor can have in a string, neighbours that also agree on the bytes
    before it hold the same string.  What is covered goes back to the documents.
 
-An anchor with more contexts than a task should hold is not merged: its strings are
-counted one by one in a shuffle that folds first.  Nothing is sampled or capped.
+The contexts of an anchor with more rows than a task should hold are folded in a shuffle
+first.  If they are still too many they are not merged: the strings are counted one by one
+in a shuffle that folds as well.  Nothing is sampled or capped.
 """
 
 from __future__ import annotations
@@ -220,7 +221,9 @@ def _runs(ranges: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[bytes, bytes, int]] = []
         for batch in batches:
-            high = (batch.column("h").to_numpy().astype(np.uint64)).astype(">u8").tobytes()
+            # Anchors have the smallest hashes around them, so hashes are mixed once more:
+            # else the first few ranges would hold nearly all contexts.
+            high = mix(batch.column("h").to_numpy().astype(np.uint64)).astype(">u8").tobytes()
             text = batch.column("context").to_pylist()
             names = np.stack([batch.column("c1").to_numpy(), batch.column("c2").to_numpy()], axis=1).astype("<i8")
             held += [
@@ -435,18 +438,30 @@ def repeated_spans(
         )
     )
     known = records.filter("context IS NOT NULL").select("h", "c1", "c2", "n", "context")
-    heavy = stage(
-        known.select("h", "c1", "c2").distinct().groupBy("h").agg(F.count(F.lit(1)).alias("contexts")).filter(F.col("contexts") > most_contexts).select("h")
+    grams = (
+        known.groupBy("h", "c1", "c2").agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy("h").agg(F.count(F.lit(1)).alias("contexts"), F.sum("rows").alias("rows"))
+    )
+    crowded = stage(
+        grams.filter(F.col("rows") > most_contexts).select("h", (F.col("contexts") > most_contexts).alias("heavy"))
     )
     ranges = max(1, -(-known.count() // CONTEXTS_PER_RANGE))
+    light, heavy = known.join(crowded, "h", "left_anti"), None
+    if not crowded.isEmpty():
+        # A row per context, however many tasks met it: what is not heavy fits a range then.
+        folded = stage(
+            known.join(crowded, "h").groupBy("h", "c1", "c2", "heavy")
+            .agg(F.sum("n").alias("n"), F.first("context").alias("context"))
+        )
+        light = light.unionByName(folded.filter(~F.col("heavy")).drop("heavy"))
+        heavy = folded.filter("heavy")
     spans = (
-        known.join(heavy, "h", "left_anti")
-        .mapInArrow(_runs(ranges), "range int, shared binary, rests binary, names binary, counts binary")
+        light.mapInArrow(_runs(ranges), "range int, shared binary, rests binary, names binary, counts binary")
         .repartition(ranges, "range").sortWithinPartitions("range")
         .mapInArrow(_covered_in_ranges(length, gram), "c1 long, c2 long, low long, high long")
     )
-    if not heavy.isEmpty():
-        single = stage(known.join(heavy, "h").mapInArrow(
+    if heavy is not None and not heavy.isEmpty():
+        single = stage(heavy.select("h", "c1", "c2", "n", "context").mapInArrow(
             _single_strings(length, gram), "c1 long, c2 long, n long, o long, s1 long, s2 long"
         ))
         # Counted by the place of the anchor, as one occurrence may hold several anchors.

@@ -5,11 +5,12 @@ from collections import Counter
 
 import pytest
 
+from ledgerlark.llm import suffix_dedup
 from ledgerlark.llm.line_dedup import drop_common_lines
 from ledgerlark.llm.pii import sanitise
 from ledgerlark.llm.sentence_spans import drop_repeated_passages
 from ledgerlark.llm.suffix_dedup import (
-    decoded_run, drop_repeated_strings, front_coded, merged_runs, shared_prefix,
+    _runs, anchors, decoded_run, drop_repeated_strings, front_coded, merged_runs, shared_prefix,
 )
 
 OPERATORS = [drop_common_lines, drop_repeated_passages, drop_repeated_strings, sanitise]
@@ -79,6 +80,50 @@ def test_byte_strings_equal_brute_force(spark, most_contexts):
     assert got == _brute_force(texts, 40)
 
 
+def test_contexts_are_dealt_evenly_over_ranges():
+    import numpy as np
+    import pyarrow as pa
+
+    data = np.random.default_rng(3).integers(0, 256, 200_000, np.uint8)
+    at, grams = anchors(data, np.full(len(data), len(data)), 200, 64)
+    h = pa.array(grams.astype(np.int64))
+    ones = pa.array(np.ones(len(at), np.int64))
+    context = pa.array([data[a : a + 20].tobytes().ljust(20, b"\0") for a in at], pa.binary())
+    batch = pa.RecordBatch.from_arrays([h, ones, ones, ones, context], ["h", "c1", "c2", "n", "context"])
+    rows = [r for out in _runs(40)(iter([batch])) for r in out.to_pylist()]
+    held = {r["range"]: len(r["counts"]) // 8 for r in rows}
+    assert sum(held.values()) == len(at)
+    assert max(held.values()) < 2 * len(at) / 40
+
+
+def test_crowded_gram_sends_one_row_per_context_to_its_range(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    plain = suffix_dedup._runs
+
+    def counted(ranges):
+        def rows(batches):
+            def passed():
+                for batch in batches:
+                    seen.add(batch.num_rows)
+                    yield batch
+
+            yield from plain(ranges)(passed())
+
+        return rows
+
+    monkeypatch.setattr(suffix_dedup, "_runs", counted)
+    # Longer than a byte batch holds, so that each of the documents sends its own rows.
+    texts = ["".join(f"{i:05d} " for i in range(50_000))] * 12
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = drop_repeated_strings(docs, most_contexts=5).collect()
+    contexts = seen.value
+    assert [(r.n_bytes, r.n_removed) for r in found] == [(300_000, 300_000)] * 12
+    seen.value = 0
+    assert len(drop_repeated_strings(docs).collect()) == 12
+    # Unfolded, each document sends its own row for every context.
+    assert contexts * 12 == seen.value
+
+
 def test_runs_are_merged_in_order_with_their_prefixes():
     import random
 
